@@ -1,0 +1 @@
+"""Empty on purpose: the scope of this engine has no streaming operator (see README)."""
