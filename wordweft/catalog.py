@@ -14,6 +14,8 @@ from .functions import text as tx
 from .functions.hashing import hash_hex, hash_uniform
 from .operators import bpe, lm, lookup, pairs, shape, subword, tuning, vocab
 from .operators.ordinal import hash_rank, with_ordinal
+from .plans import trainers
+from .plans.config import FastTextSettings, GloveSettings, Word2VecSettings
 from .sources import corpus
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -743,6 +745,74 @@ def mlm_mask(spark, sf_dir):
     return rows.select("lang", "file", "seq", *_joined("labels", "attention_mask", "input_ids"))
 
 
+# ---------------------------------------------------------------- K. training
+# Vector values are not SQL; the SQL checks that every vocabulary word got one finite vector.
+
+_TRAIN_DIM = 32
+
+
+def _vectors(model: trainers.Model) -> DataFrame:
+    return _vector_rows(model.vectors)
+
+
+def _vector_rows(vectors: DataFrame) -> DataFrame:
+    finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6))
+    return vectors.select("lang", "algorithm", "size", "word", F.size("vector").cast("bigint").alias("dim"),
+                          finite.alias("is_finite"))
+
+
+def _sql_vectors(algorithm: str) -> str:
+    return f"""WITH {_VOCAB} SELECT lang, '{algorithm}' AS algorithm, -1::bigint AS size, word,
+  {_TRAIN_DIM}::bigint AS dim, true AS is_finite FROM vocab"""
+
+
+def _w2v(**changes) -> Word2VecSettings:
+    base = dict(vector_size=_TRAIN_DIM, window=5, min_count=MIN_COUNT, epochs=2, seed=SEED)
+    return Word2VecSettings.of(base | changes)
+
+
+@query(_sql_vectors("w2v-skipgram"))
+def w2v_skipgram(spark, sf_dir):
+    return _vectors(trainers.train_word2vec(kept_lines(spark, sf_dir), _w2v()))
+
+
+@query(_sql_vectors("w2v-skipgram"))
+def w2v_skipgram_tree(spark, sf_dir):
+    """The same over a code tree without a driver-side model, as for large vocabularies."""
+    return _vectors(trainers.train_word2vec(kept_lines(spark, sf_dir), _w2v(), distributed=True))
+
+
+@query(_sql_vectors("w2v-skipgram"))
+def w2v_skipgram_noise(spark, sf_dir):
+    return _vectors(trainers.train_word2vec(kept_lines(spark, sf_dir), _w2v(hs=0, negative=2)))
+
+
+@query(_sql_vectors("w2v-cbow"))
+def w2v_cbow(spark, sf_dir):
+    return _vectors(trainers.train_word2vec(kept_lines(spark, sf_dir), _w2v(sg=0), chunk_tokens=60_000))
+
+
+@query(_sql_vectors("GloVe"))
+def glove_train(spark, sf_dir):
+    settings = GloveSettings(vocab_min_count=MIN_COUNT, vector_size=_TRAIN_DIM, max_iter=3, window_size=WINDOW, seed=SEED)
+    return _vectors(trainers.train_glove(kept_lines(spark, sf_dir), settings))
+
+
+def _fasttext(model: str) -> FastTextSettings:
+    return FastTextSettings(model=model, dim=_TRAIN_DIM, epoch=2, minCount=MIN_COUNT, minn=3, maxn=5, bucket=50_000,
+                            neg=3, t=0.001, seed=SEED)
+
+
+@query(_sql_vectors("fastText-skipgram"))
+def fasttext_skipgram(spark, sf_dir):
+    return _vectors(trainers.train_fasttext(kept_lines(spark, sf_dir), _fasttext("skipgram"), chunk_tokens=60_000))
+
+
+@query(_sql_vectors("fastText-cbow"))
+def fasttext_cbow(spark, sf_dir):
+    return _vectors(trainers.train_fasttext(kept_lines(spark, sf_dir), _fasttext("cbow"), chunk_tokens=60_000))
+
+
 # ---------------------------------------------------------------- L. runs and trials
 
 SPACE = {
