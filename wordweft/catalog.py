@@ -17,6 +17,7 @@ from .operators.ordinal import hash_rank, with_ordinal
 from .plans import trainers
 from .plans.config import FastTextSettings, GloveSettings, Word2VecSettings
 from .sources import corpus
+from .sources.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,12 +85,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark, sf_dir) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+
+
 def document_lines(spark, sf_dir) -> DataFrame:
-    return corpus.lines_from_texts(table(spark, sf_dir, "documents"))
+    return corpus.lines_from_texts(documents(spark, sf_dir))
 
 
 def kept_lines(spark, sf_dir) -> DataFrame:
-    return corpus.kept_lines_from_texts(table(spark, sf_dir, "documents"))
+    return corpus.kept_lines_from_texts(documents(spark, sf_dir))
 
 
 def ordered_lines(spark, sf_dir) -> DataFrame:
@@ -106,7 +111,7 @@ def document_vocab(spark, sf_dir, min_count: int = MIN_COUNT) -> DataFrame:
 
 def sentence_ids(spark, sf_dir) -> DataFrame:
     """In-vocabulary word ids of each line."""
-    return lookup.encode_lines(document_tokens(spark, sf_dir), document_vocab(spark, sf_dir), unknown=None, shift=0)
+    return lookup.encode_lines(kept_lines(spark, sf_dir), document_vocab(spark, sf_dir), unknown=None, shift=0)
 
 
 def conversation_tokens(spark, sf_dir) -> DataFrame:
@@ -141,7 +146,7 @@ def tagged_tokens(spark, sf_dir):
     sentence = lambda x: F.concat(
         F.array_join(F.transform(tx.split_whitespace(x), lambda t: F.concat(t, F.lit("\t"), F.lower("lang"))), "\n"),
         F.lit("\n"))
-    files = table(spark, sf_dir, "documents").select(
+    files = documents(spark, sf_dir).select(
         "doc_id", F.array_join(F.transform(filled, sentence), "\n").alias("text")).withColumn("lang", F.lit("train"))
     return shape.sentences_of_tagged(corpus.lines_from_texts(files)).select("file", "sent_id", "pos", "token", "tag")
 
@@ -492,7 +497,7 @@ def embed_lookup_field(spark, sf_dir):
 @query(f"""WITH {_VOCAB} SELECT t.lang, t.file, t.seq, string_agg(coalesce(v.id + 1, 0)::varchar, ' ' ORDER BY t.pos) AS ids
 FROM tokens t LEFT JOIN vocab v ON t.lang = v.lang AND t.word = v.word GROUP BY t.lang, t.file, t.seq""")
 def encode_words(spark, sf_dir):
-    found = lookup.encode_lines(document_tokens(spark, sf_dir), document_vocab(spark, sf_dir))
+    found = lookup.encode_lines(kept_lines(spark, sf_dir), document_vocab(spark, sf_dir))
     return found.select("lang", "file", "seq", F.array_join("ids", " ").alias("ids"))
 
 
@@ -739,7 +744,7 @@ SELECT lang, file, seq, array_to_string(s, ' ') AS labels,
 FROM full_rows""")
 def mlm_mask(spark, sf_dir):
     """Masked sequences over word ids (shifted past the specials)."""
-    encoded = lookup.encode_lines(document_tokens(spark, sf_dir), document_vocab(spark, sf_dir),
+    encoded = lookup.encode_lines(kept_lines(spark, sf_dir), document_vocab(spark, sf_dir),
                                   unknown=lm.UNKNOWN, shift=len(bpe.SPECIALS))
     rows = lm.mlm_rows(encoded, _POSITIONS, _MASK, SEED, 0)
     return rows.select("lang", "file", "seq", *_joined("labels", "attention_mask", "input_ids"))

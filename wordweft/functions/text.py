@@ -11,6 +11,8 @@ BLANK_LINE = r"(?U)^[\s\x1c-\x1f]*\z"
 CORRUPT_LEAD = r"(?U)^[^\w\s\p{P}]"
 CORRUPT_ANY = r"(?U)[^\w\s\p{P}]"
 LINE_BREAK = "\r\n|\r|\n"
+# Not blank and not led by a corrupt character, in one match.
+KEPT_LINE = r"(?U)^(?:[\w\p{P}]|\s[\s\x1c-\x1f]*[^\s\x1c-\x1f])"
 
 
 def is_blank(line: Column) -> Column:
@@ -27,33 +29,39 @@ def is_corrupt(line: Column, scope: str = "lead") -> Column:
 
 def is_kept(line: Column, corrupt_scope: str | None = "lead") -> Column:
     """The line filter of corpus preparation; ``corrupt_scope=None`` drops blank lines only."""
+    if corrupt_scope == "lead":
+        return line.rlike(KEPT_LINE)
     keep = ~is_blank(line)
     return keep if corrupt_scope is None else keep & ~is_corrupt(line, corrupt_scope)
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+    """Unicode strip. Only texts with a space at an end pay for the search."""
+    ends = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return F.when(ends.rlike(f"(?U){SPACE}"), F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+\z", "")).otherwise(text)
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U){SPACE}+\z", "")
+    end = F.substring(text, -1, 1)
+    return F.when(end.rlike(f"(?U){SPACE}"), F.regexp_replace(text, rf"(?U){SPACE}+\z", "")).otherwise(text)
 
 
 def split_lines(text: Column) -> Column:
     """Lines under universal newlines; a final line break does not open another line."""
-    parts = F.split(text, LINE_BREAK, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    unix = F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
+    body = F.when(F.endswith(unix, F.lit("\n")), F.substr(unix, F.lit(1), F.length(unix) - 1)).otherwise(unix)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
 
 
 def split_spaces(line: Column, keep_empty: bool = True) -> Column:
     """Strip, then split on each single space; runs of spaces give empty tokens unless dropped."""
     tokens = F.split(strip(line), " ", -1)
-    return tokens if keep_empty else F.filter(tokens, lambda t: t != "")
+    return tokens if keep_empty else F.array_remove(tokens, "")
 
 
 def split_whitespace(line: Column) -> Column:
     """Split on any run of whitespace, no empty tokens."""
-    return F.filter(F.split(line, rf"(?U){SPACE}+", -1), lambda t: t != "")
+    return F.array_remove(F.split(line, rf"(?U){SPACE}+", -1), "")
 
 
 def characters(text: Column) -> Column:

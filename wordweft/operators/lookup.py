@@ -6,13 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..functions import text as tx
+from .shape import tokens_of
 
 HOT_ROWS = 1024
+LOCAL_VOCAB_BYTES = 64 << 20
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, weight: str, spread: list[Column],
@@ -49,12 +53,18 @@ def with_word_info(tokens: DataFrame, vocab: DataFrame, how: str = "inner") -> D
     return lookup_join(tokens, vocab, "n", [F.col(c) for c in TOKEN_KEYS], how)
 
 
-def encode_lines(tokens: DataFrame, vocab: DataFrame, unknown: int | None = 0, shift: int = 1) -> DataFrame:
+def encode_lines(lines: DataFrame, vocab: DataFrame, unknown: int | None = 0, shift: int = 1,
+                 keep_empty: bool = False, max_local_bytes: int = LOCAL_VOCAB_BYTES) -> DataFrame:
     """(lang, file, slab, seq, ids): words of each line as id+shift, in order.
 
-    ``unknown=None`` drops words outside the vocabulary. Ids of one line meet again by line, which is
-    bounded by the line itself.
+    ``unknown=None`` drops words outside the vocabulary. The size of the vocabulary decides how: up to
+    ``max_local_bytes`` every task holds it and lines are encoded where they are; a larger one is joined.
+    Lines without any word left are not returned.
     """
+    size = vocab.agg(F.sum(F.octet_length("word") + 16), F.count("*")).first()
+    if (size[0] or 0) <= max_local_bytes:
+        return _encode_in_place(lines, vocab, unknown, shift, keep_empty)
+    tokens = tokens_of(lines, keep_empty)
     ids = vocab.select("lang", "word", "n", (F.col("id") + shift).cast("bigint").alias("id"))
     found = with_word_info(tokens, ids, "inner" if unknown is None else "left")
     value = F.col("id") if unknown is None else F.coalesce("id", F.lit(unknown).cast("bigint"))
@@ -65,6 +75,38 @@ def encode_lines(tokens: DataFrame, vocab: DataFrame, unknown: int | None = 0, s
     )
 
 
+def _encode_in_place(lines: DataFrame, vocab: DataFrame, unknown: int | None, shift: int, keep_empty: bool) -> DataFrame:
+    known = vocab.select(F.concat("lang", F.lit("\x00"), "word").alias("k"), (F.col("id") + shift).alias("v")).toArrow()
+    shared = lines.sparkSession.sparkContext.broadcast(known)
+    words = tx.split_spaces(F.col("line"), keep_empty)
+    rows = lines.select("lang", "file", "slab", "seq", words.alias("words"))
+    kind = rows.schema["file"].dataType.simpleString()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value.combine_chunks()
+        entries, values = table["k"].combine_chunks(), table["v"].combine_chunks()
+        for batch in batches:
+            words = batch.column("words")
+            lengths = words.value_lengths().to_numpy(zero_copy_only=False)
+            of_line = pa.array(np.repeat(np.arange(len(lengths)), lengths))
+            lang = batch.column("lang").take(of_line)
+            keys = pc.binary_join_element_wise(lang, words.flatten(), "\x00")
+            ids = values.take(pc.index_in(keys, value_set=entries))
+            if unknown is None:
+                found = ids.is_valid().to_numpy(zero_copy_only=False)
+                ids, lengths = ids.drop_null(), np.bincount(of_line.to_numpy()[found], minlength=len(lengths))
+            else:
+                ids = ids.fill_null(unknown)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype("int32"))
+            lists = pa.ListArray.from_arrays(offsets, ids)
+            out = pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("lang", "file", "slab", "seq")], lists],
+                names=["lang", "file", "slab", "seq", "ids"])
+            yield out.filter(pa.array(lengths > 0))
+
+    return rows.mapInArrow(encode, f"lang string, file {kind}, slab bigint, seq bigint, ids array<bigint>")
+
+
 def encode_chars(lines: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(lang, file, slab, seq, ids): code points of each line, with its line break, as ids; 0 unknown.
 

@@ -31,20 +31,33 @@ class Model:
     params: DataFrame | None = None
 
 
-def _prepared(tokens: DataFrame, min_count: int, limit: int | None, sample: float | None, seed: int):
+def _prepared(kept: DataFrame, min_count: int, limit: int | None, sample: float | None, seed: int,
+              keep_empty: bool = False):
     """(vocabulary with ids, sentences of ids) after the count, cap and sampling filters."""
-    words = vocab.word_counts(tokens, min_count)
+    words = vocab.word_counts(shape.tokens_of(kept, keep_empty), min_count)
     if limit:
         words = vocab.capped(words, limit)
     words = vocab.with_ids(words)
     if sample:
-        totals = words.groupBy("lang").agg(F.sum("n").alias("_total"))
-        info = words.join(totals, "lang").select(
-            "lang", "word", "n", vocab.keep_probability(F.col("n"), F.col("_total"), sample).alias("_q"))
-        drawn = hash_uniform(seed, F.col("file"), F.col("seq"), F.col("pos"))
-        tokens = lookup.with_word_info(tokens, info).where(drawn < F.col("_q")).drop("n", "_q")
-    sentences = lookup.encode_lines(tokens, words, unknown=None, shift=0)
-    return cut(words), cut(sentences)
+        kept = _sampled(kept, words, sample, seed, keep_empty)
+    return cut(words), cut(lookup.encode_lines(kept, words, unknown=None, shift=0, keep_empty=keep_empty))
+
+
+def _sampled(kept: DataFrame, words: DataFrame, sample: float, seed: int, keep_empty: bool) -> DataFrame:
+    """Lines without the occurrences that subsampling drops.
+
+    Only words above the sampling share can lose any; a share bounds their number, so they are broadcast.
+    """
+    totals = words.groupBy("lang").agg(F.sum("n").alias("_total"))
+    odds = vocab.keep_probability(F.col("n"), F.col("_total"), sample)
+    frequent = words.join(totals, "lang").select("lang", "word", odds.alias("_q")).where(F.col("_q") < 1.0)
+    drawn = hash_uniform(seed, F.col("file"), F.col("seq"), F.col("pos"))
+    rest = (
+        shape.tokens_of(kept, keep_empty).join(F.broadcast(frequent), ["lang", "word"], "left")
+        .where(F.col("_q").isNull() | (drawn < F.col("_q")))
+    )
+    return rest.groupBy("lang", "file", "slab", "seq").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("pos", "word")))["word"], " ").alias("line"))
 
 
 def _named(found: DataFrame, words: DataFrame, algorithm: str) -> DataFrame:
@@ -60,7 +73,7 @@ def train_glove(kept: DataFrame, settings: GloveSettings) -> Model:
     """Kept lines -> vectors W + C of the merged rows' co-occurrences."""
     seed = settings.seed or 1
     rows = shape.merged_rows(kept)
-    words, sentences = _prepared(shape.tokens_of(kept), settings.vocab_min_count, None, None, seed)
+    words, sentences = _prepared(kept, settings.vocab_min_count, None, None, seed)
     placed = sentences.join(rows.select("lang", "file", "seq", "doc_ord"), ["lang", "file", "seq"])
     counted = pairs.cooccurrence(pairs.position_chunks(placed, settings.window_size), settings.window_size)
     params, losses = fit_pairs(
@@ -82,8 +95,7 @@ def train_word2vec(kept: DataFrame, settings: Word2VecSettings, chunk_tokens: in
     the vocabulary is small enough for that. Beyond, and for noise words, the counted pairs are factored.
     """
     seed = settings.seed or 1
-    tokens = shape.tokens_of(kept, keep_empty=True)
-    words, sentences = _prepared(tokens, settings.min_count, settings.max_final_vocab, settings.sample, seed)
+    words, sentences = _prepared(kept, settings.min_count, settings.max_final_vocab, settings.sample, seed, True)
     name = "w2v-skipgram" if settings.sg else "w2v-cbow"
     negative = 0 if settings.hs else settings.negative
     shares = vocab.noise_distribution(words, settings.ns_exponent)
@@ -132,7 +144,7 @@ def word_units(words: DataFrame, settings: FastTextSettings) -> DataFrame:
 
 def train_fasttext(kept: DataFrame, settings: FastTextSettings, chunk_tokens: int = 1_000_000) -> Model:
     seed = settings.seed or 1
-    words, sentences = _prepared(shape.tokens_of(kept), settings.minCount, None, settings.t, seed)
+    words, sentences = _prepared(kept, settings.minCount, None, settings.t, seed)
     units = word_units(words, settings) if settings.maxn else words.select("lang", "id", F.array("id").alias("ids"))
     objective = Objective(settings.model == "cbow", settings.ws, settings.neg if settings.loss == "ns" else 0, True, False)
     params, losses = fit_sentences(
