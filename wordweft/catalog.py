@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions.hashing import hash_hex, hash_uniform
-from .operators import bpe, lm, lookup, pairs, shape, subword, tuning, vocab
+from .operators import bpe, lm, lookup, pairs, scoring, shape, subword, tuning, vocab
 from .operators.ordinal import hash_rank, with_ordinal
 from .plans import trainers
 from .plans.config import FastTextSettings, GloveSettings, Word2VecSettings
@@ -726,6 +726,27 @@ def bpe_pair_counts(spark, sf_dir):
     return bpe.pair_counts(bpe.symbol_table(bpe.pretoken_counts(kept_lines(spark, sf_dir))))
 
 
+_BPE_VOCAB = 261 + 60
+
+
+def document_merges(spark, sf_dir) -> list[tuple[str, str]]:
+    return bpe.train_bpe(bpe.pretoken_counts(kept_lines(spark, sf_dir)), _BPE_VOCAB)
+
+
+@query()
+def bpe_merges(spark, sf_dir):
+    return bpe.bpe_tables(spark, document_merges(spark, sf_dir))[1]
+
+
+@query()
+def mlm_encode(spark, sf_dir):
+    """Byte-pair ids of each whole line, padded, with the attention mask."""
+    encoded = bpe.encode_text(kept_lines(spark, sf_dir), document_merges(spark, sf_dir))
+    ids = lm.padded(F.col("ids"), _POSITIONS)
+    return encoded.select("lang", "file", "seq", F.size("ids").cast("bigint").alias("n_tokens"),
+                          ids.alias("input_ids"), lm.attention(ids).alias("attention_mask"))
+
+
 _MASK, _POSITIONS = 0.15, 512
 
 
@@ -818,8 +839,37 @@ def fasttext_cbow(spark, sf_dir):
     return _vectors(trainers.train_fasttext(kept_lines(spark, sf_dir), _fasttext("cbow"), chunk_tokens=60_000))
 
 
+@query()
+def oov_trained(spark, sf_dir):
+    """Vectors of the words below the minimum count, from n-gram rows that training has moved."""
+    settings = _fasttext("skipgram")
+    model = trainers.train_fasttext(kept_lines(spark, sf_dir), settings, chunk_tokens=60_000)
+    rare = vocab.word_counts(document_tokens(spark, sf_dir)).where(F.col("n") < MIN_COUNT)
+    return trainers.unseen_vectors(model, rare, settings)
+
+
+@query()
+def curve_w2v(spark, sf_dir):
+    """One model per size of the learning curve."""
+    lines = ordered_lines(spark, sf_dir)
+    found = trainers.train_curve(lines, 400, lambda part: trainers.train_word2vec(part, _w2v(epochs=1)))
+    return _vector_rows(found)
+
+
 # ---------------------------------------------------------------- L. runs and trials
 
+
+@query()
+def downstream_score(spark, sf_dir):
+    """Tag each token with its language from the given vectors; a hash tenth of the sentences is the test."""
+    lines = kept_lines(spark, sf_dir)
+    tokens = shape.tokens_of(lines)
+    dev = hash_uniform(SEED, F.col("file"), F.col("seq")) < 0.1
+    tagged = tokens.select(F.when(dev, "test").otherwise("train").alias("split"), "file", F.col("seq").alias("sent_id"),
+                           "pos", F.col("word").alias("token"), F.col("lang").alias("tag"))
+    return scoring.downstream_score(tagged, word_vectors(spark, sf_dir), DIM, max_iter=5)
+
+
 SPACE = {
     "size": {"choice": [100, 200, 300]},
     "alpha": {"uniform": [0.01, 0.1]},

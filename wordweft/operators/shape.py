@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .ordinal import exclusive_scan
+from .ordinal import exclusive_scan, with_slab_position
 
 # Of every 101 kept lines 99 train, 1 tests, 1 validates; 31 lines make a merged row.
 CYCLE, TRAIN_LINES = 101, 99
@@ -129,6 +129,12 @@ def merged_rows(kept: DataFrame, across_files: bool = True) -> DataFrame:
     )
 
 
+def kept_lines(lines: DataFrame, corrupt_scope: str | None = "lead") -> DataFrame:
+    """The line filter on ``lines`` of any source, with ``pos`` (index in slab) and ``kept_no`` (in file)."""
+    kept = lines.where(tx.is_kept(F.col("line"), corrupt_scope))
+    return with_kept_number(with_slab_position(kept))
+
+
 def with_kept_number(kept: DataFrame) -> DataFrame:
     """Index of a kept line in its file, for sources that only know its place in a slab (``pos``)."""
     slabs = kept.groupBy("lang", "file", "slab").agg(F.count("*").alias("_n"))
