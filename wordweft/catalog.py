@@ -17,7 +17,7 @@ from .operators.ordinal import hash_rank, with_ordinal
 from .plans import trainers
 from .plans.config import FastTextSettings, GloveSettings, Word2VecSettings
 from .sources import corpus
-from .sources.session import spread
+from .sources.session import cut, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -366,8 +366,7 @@ def corpus_stats(spark, sf_dir):
 
 def glove_cooccurrence(spark, sf_dir, window: int = WINDOW) -> DataFrame:
     rows = shape.merged_rows(kept_lines(spark, sf_dir))
-    places = rows.select("lang", "file", "seq", "doc_ord")
-    sentences = sentence_ids(spark, sf_dir).join(places, ["lang", "file", "seq"])
+    sentences = cut(lookup.encode_lines(rows, document_vocab(spark, sf_dir), None, 0, carry=("doc_ord",)))
     return pairs.cooccurrence(pairs.position_chunks(sentences, window), window)
 
 

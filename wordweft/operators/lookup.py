@@ -54,8 +54,9 @@ def with_word_info(tokens: DataFrame, vocab: DataFrame, how: str = "inner") -> D
 
 
 def encode_lines(lines: DataFrame, vocab: DataFrame, unknown: int | None = 0, shift: int = 1,
-                 keep_empty: bool = False, max_local_bytes: int = LOCAL_VOCAB_BYTES) -> DataFrame:
-    """(lang, file, slab, seq, ids): words of each line as id+shift, in order.
+                 keep_empty: bool = False, max_local_bytes: int = LOCAL_VOCAB_BYTES,
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """(lang, file, slab, seq, *carry, ids): words of each line as id+shift, in order.
 
     ``unknown=None`` drops words outside the vocabulary. The size of the vocabulary decides how: up to
     ``max_local_bytes`` every task holds it and lines are encoded where they are; a larger one is joined.
@@ -63,24 +64,26 @@ def encode_lines(lines: DataFrame, vocab: DataFrame, unknown: int | None = 0, sh
     """
     size = vocab.agg(F.sum(F.octet_length("word") + 16), F.count("*")).first()
     if (size[0] or 0) <= max_local_bytes:
-        return _encode_in_place(lines, vocab, unknown, shift, keep_empty)
-    tokens = tokens_of(lines, keep_empty)
+        return _encode_in_place(lines, vocab, unknown, shift, keep_empty, carry)
+    tokens = tokens_of(lines, keep_empty, carry)
     ids = vocab.select("lang", "word", "n", (F.col("id") + shift).cast("bigint").alias("id"))
     found = with_word_info(tokens, ids, "inner" if unknown is None else "left")
     value = F.col("id") if unknown is None else F.coalesce("id", F.lit(unknown).cast("bigint"))
     return (
-        found.groupBy("lang", "file", "slab", "seq")
+        found.groupBy("lang", "file", "slab", "seq", *carry)
         .agg(F.array_sort(F.collect_list(F.struct("pos", value.alias("id")))).alias("_ids"))
-        .select("lang", "file", "slab", "seq", F.col("_ids.id").alias("ids"))
+        .select("lang", "file", "slab", "seq", *carry, F.col("_ids.id").alias("ids"))
     )
 
 
-def _encode_in_place(lines: DataFrame, vocab: DataFrame, unknown: int | None, shift: int, keep_empty: bool) -> DataFrame:
+def _encode_in_place(lines: DataFrame, vocab: DataFrame, unknown: int | None, shift: int, keep_empty: bool,
+                     carry: tuple[str, ...]) -> DataFrame:
     known = vocab.select(F.concat("lang", F.lit("\x00"), "word").alias("k"), (F.col("id") + shift).alias("v")).toArrow()
     shared = lines.sparkSession.sparkContext.broadcast(known)
     words = tx.split_spaces(F.col("line"), keep_empty)
-    rows = lines.select("lang", "file", "slab", "seq", words.alias("words"))
-    kind = rows.schema["file"].dataType.simpleString()
+    keep = ["lang", "file", "slab", "seq", *carry]
+    rows = lines.select(*keep, words.alias("words"))
+    schema = ", ".join(f"{name} {rows.schema[name].dataType.simpleString()}" for name in keep)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value.combine_chunks()
@@ -99,12 +102,10 @@ def _encode_in_place(lines: DataFrame, vocab: DataFrame, unknown: int | None, sh
                 ids = ids.fill_null(unknown)
             offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype("int32"))
             lists = pa.ListArray.from_arrays(offsets, ids)
-            out = pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("lang", "file", "slab", "seq")], lists],
-                names=["lang", "file", "slab", "seq", "ids"])
+            out = pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], lists], names=[*keep, "ids"])
             yield out.filter(pa.array(lengths > 0))
 
-    return rows.mapInArrow(encode, f"lang string, file {kind}, slab bigint, seq bigint, ids array<bigint>")
+    return rows.mapInArrow(encode, f"{schema}, ids array<bigint>")
 
 
 def encode_chars(lines: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -151,11 +151,11 @@ def sequence_with_ends(tokens: Column, limit: int, start: str = "<S>", end: str
     return F.concat(F.array(F.lit(start)), F.slice(tokens, 1, limit), F.array(F.lit(end)))
 
 
-def tokens_of(lines: DataFrame, keep_empty: bool = False) -> DataFrame:
-    """One row per token: (lang, file, slab, seq, pos, word)."""
+def tokens_of(lines: DataFrame, keep_empty: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per token: (lang, file, slab, seq, *carry, pos, word)."""
     parts = tx.split_spaces(F.col("line"), keep_empty)
     return (
-        lines.select("lang", "file", "slab", "seq", F.posexplode(parts).alias("pos", "word"))
+        lines.select("lang", "file", "slab", "seq", *carry, F.posexplode(parts).alias("pos", "word"))
         .withColumn("pos", F.col("pos").cast("bigint"))
     )
 

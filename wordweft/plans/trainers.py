@@ -32,7 +32,7 @@ class Model:
 
 
 def _prepared(kept: DataFrame, min_count: int, limit: int | None, sample: float | None, seed: int,
-              keep_empty: bool = False):
+              keep_empty: bool = False, carry: tuple[str, ...] = ()):
     """(vocabulary with ids, sentences of ids) after the count, cap and sampling filters."""
     words = vocab.word_counts(shape.tokens_of(kept, keep_empty), min_count)
     if limit:
@@ -40,7 +40,7 @@ def _prepared(kept: DataFrame, min_count: int, limit: int | None, sample: float
     words = vocab.with_ids(words)
     if sample:
         kept = _sampled(kept, words, sample, seed, keep_empty)
-    return cut(words), cut(lookup.encode_lines(kept, words, unknown=None, shift=0, keep_empty=keep_empty))
+    return cut(words), cut(lookup.encode_lines(kept, words, None, 0, keep_empty, carry=carry))
 
 
 def _sampled(kept: DataFrame, words: DataFrame, sample: float, seed: int, keep_empty: bool) -> DataFrame:
@@ -72,10 +72,8 @@ def _inputs(params: DataFrame) -> DataFrame:
 def train_glove(kept: DataFrame, settings: GloveSettings) -> Model:
     """Kept lines -> vectors W + C of the merged rows' co-occurrences."""
     seed = settings.seed or 1
-    rows = shape.merged_rows(kept)
-    words, sentences = _prepared(kept, settings.vocab_min_count, None, None, seed)
-    placed = sentences.join(rows.select("lang", "file", "seq", "doc_ord"), ["lang", "file", "seq"])
-    counted = pairs.cooccurrence(pairs.position_chunks(placed, settings.window_size), settings.window_size)
+    words, sentences = _prepared(shape.merged_rows(kept), settings.vocab_min_count, None, None, seed, carry=("doc_ord",))
+    counted = pairs.cooccurrence(pairs.position_chunks(sentences, settings.window_size), settings.window_size)
     params, losses = fit_pairs(
         counted.select("lang", "w", "c", F.col("x").alias("a"), F.lit(0.0).alias("b")), words,
         settings.vector_size, settings.max_iter, settings.rate, settings.rate, "glove", seed, settings.x_max)
