@@ -1,0 +1,139 @@
+import collections
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordweft.functions.hashing import hash_uniform
+from wordweft.operators import lookup, pairs, shape, subword, vocab
+from wordweft.sources.corpus import lines_from_texts
+
+TEXT = {"aa": {1: ["the cat saw the dog", "the the the"], 2: ["a dog", "cat saw a cat the dog"], 9: ["lone"]},
+        "bb": {4: ["x y x z", "y x"]}}
+
+
+@pytest.fixture
+def kept(kept_of):
+    return kept_of(TEXT)
+
+
+def words_of(kept, n=1):
+    return vocab.with_ids(vocab.word_counts(shape.tokens_of(kept), n))
+
+
+def test_vocab_ids_caps_and_noise(kept):
+    words = words_of(kept)
+    ids = {(r["lang"], r["word"]): (r["id"], r["n"]) for r in words.collect()}
+    assert ids["aa", "the"] == (0, 6) and ids["aa", "cat"] == (1, 3) and ids["aa", "dog"] == (2, 3)
+    assert {r["word"] for r in vocab.capped(words, 2).where("lang = 'aa'").collect()} == {"the"}
+    noise = vocab.noise_distribution(words, 0.75).orderBy("lang", "id").collect()
+    for lang in ("aa", "bb"):
+        mine = [r for r in noise if r["lang"] == lang]
+        assert abs(sum(r["p"] for r in mine) - 1) < 1e-12 and mine[0]["lo"] == 0
+        assert all(abs(a["hi"] - b["lo"]) < 1e-12 for a, b in zip(mine, mine[1:]))
+
+
+def test_char_dictionary(kept):
+    rows = vocab.char_dictionary(vocab.char_counts(kept)).where("lang = 'bb'").orderBy("idx").collect()
+    assert [(r["item"], r["n"]) for r in rows] == [(" ", 4), ("x", 3), ("\n", 2), ("y", 2), ("z", 1)]
+    assert [r["idx"] for r in rows] == [1, 2, 3, 4, 5] and rows[-1]["cum_share"] == 1
+
+
+@pytest.mark.parametrize("chunk", [3, 8, 4096])
+def test_cooccurrence_by_brute_force(kept, monkeypatch, chunk):
+    words = words_of(kept, 2)
+    ids = {(r["lang"], r["word"]): r["id"] for r in words.collect()}
+    sentences = lookup.encode_lines(shape.merged_rows(kept), words, None, 0, carry=("doc_ord",))
+    got = {(r["lang"], r["w"], r["c"]): r["x"]
+           for r in pairs.cooccurrence(pairs.position_chunks(sentences, 3, chunk), 3).collect()}
+    want = collections.Counter()
+    for lang, files in TEXT.items():
+        flow = [ids[lang, w] for _, lines in sorted(files.items()) for line in lines for w in line.split() if (lang, w) in ids]
+        for i, a in enumerate(flow):
+            for d, b in enumerate(flow[i + 1:i + 4], 1):
+                want[lang, a, b] += 1 / d
+                want[lang, b, a] += 1 / d
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_skipgram_and_bags(kept):
+    sentences = lookup.encode_lines(kept, words_of(kept), None, 0)
+    full = {(r["lang"], r["w"], r["c"]): r["n"] for r in pairs.skipgram_pairs(sentences, 2, dynamic=False).collect()}
+    want = collections.Counter()
+    bags = collections.Counter()
+    for r in sentences.collect():
+        for i, a in enumerate(r["ids"]):
+            around = r["ids"][max(0, i - 2):i] + r["ids"][i + 1:i + 3]
+            want.update((r["lang"], a, b) for b in around)
+            if around:
+                bags[r["lang"], r["file"], r["seq"], i, a, tuple(around)] += 1
+    assert full == want
+    rows = pairs.cbow_rows(sentences, 2).collect()
+    assert collections.Counter((r["lang"], r["file"], r["seq"], r["pos"], r["target"], tuple(r["bag"])) for r in rows) == bags
+    reduced = pairs.skipgram_pairs(sentences, 2, seed=3)
+    again = pairs.skipgram_pairs(sentences.repartition(7), 2, seed=3)
+    assert sorted(reduced.collect()) == sorted(again.collect())
+    assert sum(r["n"] for r in reduced.collect()) < sum(want.values())
+
+
+def test_noise_draws_by_brute_force(spark, kept):
+    noise = vocab.noise_distribution(words_of(kept))
+    draws = spark.range(3000).select(F.element_at(F.array(F.lit("aa"), F.lit("bb")), (F.col("id") % 2 + 1).cast("int")).alias("lang"),
+                                     F.col("id").alias("k"), hash_uniform(5, F.col("id")).alias("u"))
+    table = noise.collect()
+    for buckets in (1, 3, 4096):
+        got = pairs.draw_noise(draws, noise, buckets=buckets).collect()
+        assert len(got) == 3000
+        for r in got[::13]:
+            want = max((x for x in table if x["lang"] == r["lang"] and x["lo"] <= r["u"]), key=lambda x: x["lo"])
+            assert r["noise_word"] == want["word"]
+
+
+def test_both_ways_to_encode_agree(kept):
+    words = words_of(kept, 2)
+    for unknown in (0, None):
+        here = lookup.encode_lines(kept, words, unknown)
+        joined = lookup.encode_lines(kept, words, unknown, max_local_bytes=0)
+        assert sorted(here.collect()) == sorted(joined.collect())
+
+
+def test_lookup_join_keeps_every_row(kept, monkeypatch):
+    monkeypatch.setattr(lookup, "HOT_ROWS", 2)
+    tokens, words = shape.tokens_of(kept), words_of(kept, 2)
+    left = lookup.with_word_info(tokens, words, "left").collect()
+    known = {(r["lang"], r["word"]): r["id"] for r in words.collect()}
+    assert len(left) == tokens.count()
+    assert all(r["id"] == known.get((r["lang"], r["word"])) for r in left)
+    assert lookup.with_word_info(tokens, words).count() == sum(r["id"] is not None for r in left)
+
+
+def test_fallback_order(spark):
+    vectors = spark.createDataFrame([(w, [float(k)]) for k, w in enumerate(["Word", "word", "##", "00", "abc##", "abc00"])],
+                                    "word string, vector array<float>")
+    probes = spark.createDataFrame([(w,) for w in ["Word", "WORD", "12", "ABC34", "zzz"]], "word string")
+    got = {r["word"]: (r["matched"], r["step"], r["vector"]) for r in lookup.embed_words(probes, vectors, 1).collect()}
+    assert got == {"Word": ("Word", 0, [0.0]), "WORD": ("word", 1, [1.0]), "12": ("##", 2, [2.0]),
+                   "ABC34": ("abc##", 2, [4.0]), "zzz": (None, -1, [0.0])}
+    short = {r["word"]: r["vector"] for r in lookup.embed_words(probes, vectors, 1, steps=2, default=1.0).collect()}
+    assert short["12"] == [1.0] and short["WORD"] == [1.0]
+
+
+def test_ngrams_and_byte_ids(spark):
+    words = spark.createDataFrame([("aa", w) for w in ["a", "ab", "", "日本"]], "lang string, word string")
+    rows = subword.subword_ngrams(words, 3, 6, 100).collect()
+    grams = collections.defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r["len"], r["start"])):
+        grams[r["word"]].append(r["ngram"])
+    assert grams == {"a": ["<a>"], "ab": ["<ab", "ab>", "<ab>"], "日本": ["<日本", "日本>", "<日本>"]}
+    assert {r["ngram"] for r in subword.subword_ngrams(words, 1, 1, 9).where("word = 'ab'").collect()} == {"a", "b"}
+    ids = {r["word"]: r["ids"] for r in subword.char_word_ids(words).collect()}
+    assert ids["ab"] == [259, 98, 99, 260] + [261] * 46 and ids[""] == [259, 260] + [261] * 48
+    arrays = {r["word"]: r["g"] for r in words.select("word", subword.ngrams_of(F.col("word"), 3, 6)["ngram"].alias("g")).collect()}
+    assert {w: g for w, g in arrays.items() if g} == dict(grams)
+
+
+def test_chars_as_ids(spark):
+    texts = spark.createDataFrame([("aa", 1, "a😀b\nb"), ("cc", 2, "a")], "lang string, doc_id bigint, text string")
+    lines = lines_from_texts(texts)
+    known = vocab.char_dictionary(vocab.char_counts(lines.where("lang = 'aa' and seq = 1")))
+    got = {(r["lang"], r["seq"]): r["ids"] for r in lookup.encode_chars(lines, known).collect()}
+    assert got == {("aa", 0): [0, 0, 2, 1], ("aa", 1): [2, 1], ("cc", 0): [0, 0]}
