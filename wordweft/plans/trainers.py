@@ -76,7 +76,8 @@ def train_glove(kept: DataFrame, settings: GloveSettings) -> Model:
     counted = pairs.cooccurrence(pairs.position_chunks(sentences, settings.window_size), settings.window_size)
     params, losses = fit_pairs(
         counted.select("lang", "w", "c", F.col("x").alias("a"), F.lit(0.0).alias("b")), words,
-        settings.vector_size, settings.max_iter, settings.rate, settings.rate, "glove", seed, settings.x_max)
+        settings.vector_size, settings.max_iter, settings.rate, settings.rate, "glove", seed, settings.x_max,
+        passes=settings.local_passes)
     body = F.slice("vec", 1, settings.vector_size)
     w = params.where(F.col("side") == 0).select("lang", "id", body.alias("_w"))
     c = params.where(F.col("side") == 1).select("lang", "id", body.alias("_c"))
@@ -112,7 +113,7 @@ def train_word2vec(kept: DataFrame, settings: Word2VecSettings, chunk_tokens: in
     counts = pairs.skipgram_pairs(sentences, settings.window, seed=seed)
     counted = noise_pairs(counts, shares, negative, seed) if negative else tree_pairs(counts, path_codes(tree))
     params, losses = fit_pairs(counted, words, settings.vector_size, settings.epochs, settings.alpha, settings.min_alpha,
-                               "logistic", seed)
+                               "logistic", seed, passes=settings.local_passes)
     return Model(_named(_inputs(params), words, name), losses, params)
 
 
