@@ -29,13 +29,15 @@ def gap(vectors):
 @pytest.mark.parametrize("train", [
     lambda k: trainers.train_glove(k, GloveSettings(vector_size=10, max_iter=4, window_size=4, x_max=50, rate=0.3, local_passes=30)),
     lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3), distributed=True),
-    lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3, hs=0, negative=4, local_passes=10)),
+    lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3, hs=0, negative=4, local_passes=30)),
     lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3, sg=0, hs=0, negative=4), 1500),
     lambda k: trainers.train_fasttext(k, FastTextSettings(dim=10, epoch=6, lr=0.3, minn=5, maxn=5, bucket=500, t=0), 1500),
 ], ids=["glove", "skipgram-tree", "skipgram-noise", "cbow-noise", "fasttext"])
-def test_planted_sets_separate(kept_of, train):
+def test_planted_sets_separate(request, kept_of, train):
     lines = planted()
-    model = train(kept_of({"aa": {1: lines[0::2], 2: lines[1::2]}}))
+    # Counts only tell the sets apart where they meet: one file lets merged rows mix them.
+    files = {1: lines} if request.node.callspec.id == "glove" else {1: lines[0::2], 2: lines[1::2]}
+    model = train(kept_of({"aa": files}))
     assert model.losses[-1] < model.losses[0]
     assert {r["word"] for r in model.vectors.select("word").collect()} == {*WARM, *COLD}
     assert gap(model.vectors) > 0.3
