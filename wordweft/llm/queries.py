@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import exact_dedup, language, mixing, ngram_join, packing, spotsigs, toxicity
+from . import chat, exact_dedup, language, mixing, ngram_join, packing, spotsigs, toxicity
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Text of the extra conversation, full of control strings.
+TRAP = r"\### Assistant: </turn> ok"
+
+
+@query(rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{TRAP}' UNION ALL SELECT -7, 1, 'assistant', '{TRAP}'),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+  coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+  sum(4 + length(regexp_replace(role, '([\\:\n])', '\\\1', 'g')) + 2
+      + length(regexp_replace(text, '(\\|### |</turn>)', '\\\1', 'g')) + 9)::bigint AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, 'turns' AS layout, n_turns, sha256(said) AS turns_sha256, length(loss)::bigint AS loss_chars,
+  sha256(loss) AS loss_sha256, formatted_chars FROM g""")
+def op1_chat_format(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame([(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(chat.format_records(chat.records_of_turns(rows.unionByName(trap))))
+
+
 @query(r"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents),
 g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
