@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, exact_dedup, language, mixing, ngram_join, packing, spotsigs, toxicity
+from . import chat, exact_dedup, language, licenses, mixing, ngram_join, packing, pii, spotsigs, toxicity
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,32 @@ def op4_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+_KNOWN = "MAP {" + ", ".join(f"'{t}': '{i}'" for i, t in licenses.SENTENCES.items()) + "}"
+_IDS = ("list_filter(list_transform(string_split_regex(text, '{cut}'), lambda s: " + _KNOWN
+        + "[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))]), lambda x: x IS NOT NULL)")
+_BY_RULE = {k: "MAP {" + ", ".join(f"'{q}': '{v}'" for q, v in {
+    licenses.sequence_of(r[0]): r[k] for r in reversed(licenses.RULES)}.items()) + "}" for k in (1, 2)}
+_FAMILY = " ".join(f"WHEN list_contains(families, '{f}') THEN '{f}'" for f in licenses.FAMILIES)
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+i AS (SELECT doc_id, {_IDS.replace('{cut}', licenses.LINES)} AS lines, {_IDS.replace('{cut}', licenses.PARAGRAPHS)} AS wrapped FROM d),
+c AS (SELECT doc_id, CASE WHEN len(wrapped) > len(lines) THEN wrapped ELSE lines END AS ids FROM i),
+q AS (SELECT doc_id, ids, coalesce(array_to_string(list_transform(ids, lambda x: '<' || x || '>'), ''), '') AS sentences FROM c),
+m AS (SELECT *, regexp_extract_all(sentences, '{"|".join(licenses.sequence_of(r[0]) for r in licenses.RULES)}') AS matched FROM q),
+f AS (SELECT *, list_transform(matched, lambda x: {_BY_RULE[1]}[x]) AS names, list_transform(matched, lambda x: {_BY_RULE[2]}[x]) AS families FROM m)
+SELECT doc_id, coalesce(array_to_string(list_filter(names, lambda x, k: list_position(names, x) = k), ', '), '') AS licences,
+  CASE {_FAMILY} ELSE 'none' END AS family, len(ids) AS n_sentences, sentences FROM f""")
+def op5_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_pii_pseudonyms(spark, sf_dir):
+    return pii.pseudonyms(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
