@@ -35,7 +35,7 @@ OPEN_BINS = 256
 FAN = 16
 VOCABULARY = "word_bpe_49k.json"
 #: Words that a worker remembers, and the longest such word.
-REMEMBERED, WORD_CHARS = 600_000, 40
+REMEMBERED, WORD_CHARS = 500_000, 40
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PLACED = PIECES + ", sequence_id bigint, offset bigint, closed boolean"
@@ -118,7 +118,8 @@ class WordEncoder:
         control = pc.match_substring_regex(texts, self._CONTROL)
         apart = pc.replace_substring(pc.replace_substring(texts, ". ", " . "), ", ", " , ")
         apart = pc.if_else(odd, texts, apart)
-        words = pc.utf8_split_whitespace(pc.if_else(control, "", apart))
+        # Trimmed first: the split kernel looks past the end of a batch whose last text ends in white space.
+        words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.if_else(control, "", apart)))
         coded = words.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
         ids_of = self._lookup(coded.dictionary.to_pylist())
@@ -136,8 +137,8 @@ class WordEncoder:
         return out
 
 
-def slices(lengths: list[int], most: int = 16_000_000) -> Iterator[tuple[int, int]]:
-    """Consecutive (offset, rows) of at most ``most`` characters, or one row."""
+def slices(lengths: list[int], most: int = 8_000_000) -> Iterator[tuple[int, int]]:
+    """Consecutive (offset, rows) of at most ``most`` bytes, or one row."""
     start, held = 0, 0
     for k, n in enumerate(lengths):
         if held and held + n > most:

@@ -24,7 +24,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of all texts, and where each text ends. Words are runs without white space of the
     lower-cased text; each distinct word of the batch is hashed once."""
     import xxhash
-    words = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+    # Trimmed first: the split kernel looks past the end of a batch whose last text ends in white space.
+    words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(texts)))
     flat = words.flatten()
     ends = np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
     coded = flat.dictionary_encode()

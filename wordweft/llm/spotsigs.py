@@ -45,7 +45,8 @@ _NO_WORD = r"[^\pL\pN]+"
 def bags(texts: pa.Array, anchors=ANCHORS, chain: int = CHAIN, distance: int = DISTANCE) -> list[np.ndarray]:
     """The sorted 32-bit signatures of each text, repeats included."""
     import xxhash
-    words = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), _NO_WORD, " "))
+    # Trimmed first: the split kernel looks past the end of a batch whose last text ends in white space.
+    words = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), _NO_WORD, " ")))
     flat = words.flatten()
     ends = np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
     coded = flat.dictionary_encode()
