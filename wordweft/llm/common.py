@@ -20,6 +20,24 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def first_hashed(rows: DataFrame, count: int) -> list:
+    """The ids of the ``count`` first rows in hashed order of doc_id; only ids reach the driver."""
+    at = F.xxhash64(F.col("doc_id").cast("string"), F.lit(5))
+    return [r[0] for r in rows.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(at, "doc_id").limit(count).collect()]
+
+
+def texts_by_id(docs: DataFrame, ids: list, most_chars: int) -> dict:
+    """Texts of at most ``most_chars`` code points of a bounded list of documents. A doc_id that several
+    rows share gives its smallest text."""
+    spark = docs.sparkSession
+    wanted = spark.createDataFrame([(i,) for i in ids], docs.select("doc_id").schema)
+    found = (
+        doc_text(docs).join(F.broadcast(wanted), "doc_id").where(F.char_length("text") <= most_chars)
+        .groupBy("doc_id").agg(F.min("text").alias("text"))
+    )
+    return {r["doc_id"]: r["text"] for r in found.collect()}
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the shared checkpoint folder (``spark.checkpoint.dir``)."""
     ensure_checkpoint_dir(spark)

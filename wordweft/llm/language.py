@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_text, remainder
+from .common import doc_text, first_hashed, remainder, texts_by_id
 
 FIT_DOCS, FIT_CHARS = 600, 30_000
 ORDERS = (1, 2, 3)
@@ -111,15 +111,12 @@ def fit(samples: dict[str, list[str]]) -> Model:
 
 def train(docs: DataFrame, held_out: int = 0, fit_docs: int = FIT_DOCS) -> Model:
     """Fit on documents whose crc32(doc_id as text) mod 5 is not ``held_out``."""
-    rows = (
-        doc_text(docs, "lang").where("lang IS NOT NULL")
-        .where((remainder(F.col("doc_id"), 5) != held_out) & (F.char_length("text") <= FIT_CHARS))
-        .withColumn("at", F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)))
-    )
-    # One small query per language: the set of languages is a few hundred at most.
-    names = [r["lang"] for r in rows.select("lang").distinct().collect()]
-    return fit({n: [r["text"] for r in rows.where(F.col("lang") == n).orderBy("at", "text").limit(fit_docs).collect()]
-                for n in names})
+    known = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & (remainder(F.col("doc_id"), 5) != held_out))
+    # One query over ids per language: the set of languages is a few hundred at most.
+    names = [r["lang"] for r in known.select("lang").distinct().collect()]
+    ids = {n: first_hashed(known.where(F.col("lang") == n), fit_docs) for n in names}
+    texts = texts_by_id(docs, sorted({i for chosen in ids.values() for i in chosen}), FIT_CHARS)
+    return fit({n: [texts[i] for i in chosen if i in texts] for n, chosen in ids.items()})
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -11,8 +11,8 @@ documents hardly have. Both compressors hold the ordinary dictionary, the toxic
 dictionary as well, so that ordinary text costs the same in both. Windows are compressed behind a carrier
 text that both dictionaries end with, so a short window never falls back to stored bytes.
 
-Bounds: the model is fitted on at most FIT_DOCS documents per class, the first in hashed order, of at
-most FIT_CHARS code points each (longer ones are not chosen for the fit). Everything else reads whole
+Bounds: the model is fitted on at most FIT_DOCS documents per class, the first labelled ones in hashed
+order; those of more than FIT_CHARS code points are left out of the fit. Everything else reads whole
 texts of all documents.
 
 Nulls: a null text is empty; an empty text has one empty window with margin 0 and gets the score of that.
@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_text, remainder, with_fresh
+from .common import doc_text, first_hashed, remainder, texts_by_id, with_fresh
 
 FIT_DOCS, FIT_CHARS = 2500, 30_000
 WINDOW, STEP = 64, 48
@@ -149,13 +149,12 @@ def fit(toxic: list[str], ordinary: list[str], share: float | None = None) -> Mo
 
 def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, fit_docs: int = FIT_DOCS) -> Model:
     """Fit on labelled documents whose crc32(doc_id as text) mod 3 is not ``held_out``."""
-    known = labels.where("toxic IN (0, 1)").select("doc_id", "toxic").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = (
-        doc_text(docs).where((remainder(F.col("doc_id"), 3) != held_out) & (F.char_length("text") <= FIT_CHARS))
-        .join(known, "doc_id").withColumn("at", F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)))
-    )
+    known = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = known.agg(F.avg("toxic")).first()[0]
-    sides = [[r["text"] for r in rows.where(F.col("toxic") == kind).orderBy("at", "text").limit(fit_docs).collect()] for kind in (1, 0)]
+    learned = known.where(remainder(F.col("doc_id"), 3) != held_out)
+    ids = [first_hashed(learned.where(F.col("toxic") == kind), fit_docs) for kind in (1, 0)]
+    texts = texts_by_id(docs, ids[0] + ids[1], FIT_CHARS)
+    sides = [[texts[i] for i in side if i in texts] for side in ids]
     return fit(*sides, share)
 
 
