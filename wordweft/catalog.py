@@ -25,7 +25,6 @@ ORACLES: dict[str, str] = {}
 MIN_COUNT = 5
 WINDOW = 5
 SEED = 7
-VECTORS = 500
 DIM = 64
 
 
@@ -424,8 +423,8 @@ def word_vectors(spark, sf_dir) -> DataFrame:
         .otherwise(low)
     )
     words = counts.select(form.alias("word")).distinct()
-    slot = words.withColumn("vec_id", subword.bucket_of(F.col("word"), VECTORS))
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    slot = words.withColumn("vec_id", subword.bucket_of(F.col("word"), max(vectors.count(), 1)))
     return slot.join(vectors, "vec_id").select("word", "vector")
 
 
@@ -435,7 +434,7 @@ forms AS (SELECT DISTINCT CASE WHEN regexp_matches(word, '\\p{{Nd}}') THEN
       ELSE regexp_replace(lower(word), '\\p{{Nd}}', '0', 'g') END
     WHEN n >= 100 THEN word ELSE lower(word) END AS word FROM counts WHERE n >= 2),
 vectors AS (SELECT word, embedding AS vector FROM forms
-  JOIN embeddings ON vec_id = ('0x' || substr(md5(word), 1, 8))::bigint % {VECTORS}),
+  JOIN embeddings ON vec_id = ('0x' || substr(md5(word), 1, 8))::bigint % (SELECT count(*) FROM embeddings)),
 {_sql_lines('talk_lines', 'conversations', 'role', 'conv_id * 100000 + turn', 'text')},
 talk AS (SELECT lang, file, seq, generate_subscripts(t, 1) - 1 AS pos, unnest(t) AS word FROM (
   SELECT *, list_filter(string_split({_sql_strip('line')}, ' '), lambda x: x <> '') AS t FROM talk_lines
@@ -650,8 +649,8 @@ def cbow_rows(spark, sf_dir):
 
 _NGRAMS = _COUNTS + f""",
 marked AS (SELECT lang, word, '<' || word || '>' AS m FROM counts WHERE n >= {MIN_COUNT}),
-grams AS (SELECT lang, word, start, l AS len, substr(m, start::bigint, l::bigint) AS ngram
-  FROM marked, range(3, 7) x(l), range(1, 100) y(start) WHERE start <= length(m) - l + 1)"""
+starts AS (SELECT lang, word, m, l, unnest(range(1, length(m) - l + 2)) AS start FROM marked, range(3, 7) x(l)),
+grams AS (SELECT lang, word, start, l AS len, substr(m, start::bigint, l::bigint) AS ngram FROM starts)"""
 
 
 @query(f"""WITH {_NGRAMS} SELECT lang, word, start, len, ngram,
@@ -661,24 +660,23 @@ def subword_ngrams(spark, sf_dir):
     return subword.subword_ngrams(words, 3, 6, 2_000_000)
 
 
-_DIMS = ", ".join(f"round(avg(v[{d}]), 5) AS v{d}" for d in (1, 2, 64))
+_DIMS = ", ".join(f"round(avg(v[{d}]), 5) AS v{d}" for d in range(1, DIM + 1))
 
 
 @query(f"""WITH {_sql_lines('bl', 'benchmark', "'b'", 'item_id', 'text')},
 bt AS (SELECT DISTINCT unnest(list_filter(string_split({_sql_strip('line')}, ' '), lambda x: x <> '')) AS word FROM bl),
-grams AS (SELECT word, substr(m, start::bigint, l::bigint) AS g FROM (SELECT word, '<' || word || '>' AS m FROM bt),
-  range(3, 7) x(l), range(1, 200) y(start) WHERE start <= length(m) - l + 1),
+grams AS (SELECT word, substr(m, start::bigint, l::bigint) AS g FROM (
+  SELECT word, m, l, unnest(range(1, length(m) - l + 2)) AS start FROM (SELECT word, '<' || word || '>' AS m FROM bt), range(3, 7) x(l))),
 hits AS (SELECT word, embedding::double[] AS v FROM grams
-  JOIN embeddings ON vec_id = ('0x' || substr(md5(g), 1, 8))::bigint % {VECTORS})
+  JOIN embeddings ON vec_id = ('0x' || substr(md5(g), 1, 8))::bigint % (SELECT count(*) FROM embeddings))
 SELECT word, {_DIMS} FROM hits GROUP BY word""")
 def oov_vector(spark, sf_dir):
     """Vectors of the benchmark words from their n-grams alone, on the given embeddings as buckets."""
     items = table(spark, sf_dir, "benchmark").select(F.lit("b").alias("lang"), "item_id", "text")
     words = shape.tokens_of(corpus.lines_from_texts(items, file="item_id"))
-    buckets = table(spark, sf_dir, "embeddings").where(F.col("vec_id") < VECTORS).select(
-        F.col("vec_id").alias("bucket"), F.col("embedding").alias("vector"))
-    found = subword.oov_vectors(words, buckets, 3, 6, VECTORS, "float64")
-    return found.select("word", *[F.round(F.col("vector")[d - 1], 5).alias(f"v{d}") for d in (1, 2, 64)])
+    buckets = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("bucket"), F.col("embedding").alias("vector"))
+    found = subword.oov_vectors(words, buckets, 3, 6, max(buckets.count(), 1), "float64")
+    return found.select("word", *[F.round(F.col("vector")[d - 1], 5).alias(f"v{d}") for d in range(1, DIM + 1)])
 
 
 _STREAMS, _LENGTH = 16, 250
@@ -688,7 +686,7 @@ _STREAMS, _LENGTH = 16, 250
 sized AS (SELECT lang, t, length(t) // {_STREAMS} AS len FROM whole),
 streams AS (SELECT lang, stream, len, substr(t, stream * len + 1, len) AS t FROM sized, range(0, {_STREAMS}) s(stream)),
 cut AS (SELECT lang, stream, w AS "window", substr(t, w * {_LENGTH} + 1, {_LENGTH} + 1) AS t
-  FROM streams, range(0, 1000000) r(w) WHERE w * {_LENGTH} < len)
+  FROM (SELECT *, unnest(range(0, (len + {_LENGTH} - 1) // {_LENGTH})) AS w FROM streams))
 SELECT lang, stream, "window", substr(t, 1, length(t) - 1) AS input, substr(t, 2) AS target FROM cut WHERE length(t) > 1""")
 def char_lm_sequences(spark, sf_dir):
     return lm.char_sequences(ordered_lines(spark, sf_dir), _STREAMS, _LENGTH)
@@ -715,7 +713,8 @@ def bpe_pretokens(spark, sf_dir):
 
 
 @query(f"""WITH {_PRETOKENS}, bytes AS (SELECT n, hex(encode(pretoken)) AS h FROM pre_counts),
-p AS (SELECT n, substr(h, 2 * k + 1, 2) AS l, substr(h, 2 * k + 3, 2) AS r FROM bytes, range(0, 100) x(k) WHERE 2 * k + 4 <= length(h)),
+p AS (SELECT n, substr(h, 2 * k + 1, 2) AS l, substr(h, 2 * k + 3, 2) AS r FROM (
+  SELECT n, h, unnest(range(0, length(h) // 2 - 1)) AS k FROM bytes)),
 code AS (SELECT byte, CASE WHEN byte BETWEEN 33 AND 126 OR byte BETWEEN 161 AND 172 OR byte BETWEEN 174 AND 255 THEN chr(byte::int)
   ELSE chr((255 + count(*) FILTER (WHERE NOT (byte BETWEEN 33 AND 126 OR byte BETWEEN 161 AND 172 OR byte BETWEEN 174 AND 255))
     OVER (ORDER BY byte))::int) END AS ch FROM range(0, 256) b(byte))

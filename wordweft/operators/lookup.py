@@ -86,15 +86,15 @@ def _encode_in_place(lines: DataFrame, vocab: DataFrame, unknown: int | None, sh
     schema = ", ".join(f"{name} {rows.schema[name].dataType.simpleString()}" for name in keep)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value.combine_chunks()
-        entries, values = table["k"].combine_chunks(), table["v"].combine_chunks()
+        index = dict(zip(shared.value["k"].to_pylist(), shared.value["v"].to_pylist()))
         for batch in batches:
             words = batch.column("words")
             lengths = words.value_lengths().to_numpy(zero_copy_only=False)
             of_line = pa.array(np.repeat(np.arange(len(lengths)), lengths))
             lang = batch.column("lang").take(of_line)
             keys = pc.binary_join_element_wise(lang, words.flatten(), "\x00")
-            ids = values.take(pc.index_in(keys, value_set=entries))
+            coded = keys.dictionary_encode()
+            ids = pa.array([index.get(k) for k in coded.dictionary.to_pylist()], pa.int64()).take(coded.indices)
             if unknown is None:
                 found = ids.is_valid().to_numpy(zero_copy_only=False)
                 ids, lengths = ids.drop_null(), np.bincount(of_line.to_numpy()[found], minlength=len(lengths))
@@ -111,27 +111,28 @@ def _encode_in_place(lines: DataFrame, vocab: DataFrame, unknown: int | None, sh
 def encode_chars(lines: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(lang, file, slab, seq, ids): code points of each line, with its line break, as ids; 0 unknown.
 
-    The dictionary is bounded by the number of code points, so it travels with the task as one lookup
-    array per language, and lines are encoded where they are, without a shuffle.
+    The dictionary travels with the task as sorted code points per language (its own size, no more), and
+    lines are encoded where they are, without a shuffle.
     """
-    tables: dict[str, np.ndarray] = {}
+    known: dict[str, list[tuple[int, int]]] = {}
     for row in dictionary.select("lang", "item", "idx").toLocalIterator():
-        table = tables.setdefault(row["lang"], np.zeros(0x110000, dtype="int32"))
-        table[ord(row["item"])] = row["idx"]
-    packed = {lang: (np.flatnonzero(t).astype("int32"), t[np.flatnonzero(t)]) for lang, t in tables.items()}
+        known.setdefault(row["lang"], []).append((ord(row["item"]), row["idx"]))
+    tables = {lang: np.array(sorted(pairs), dtype="int32").T for lang, pairs in known.items()}
 
     @pandas_udf("array<int>")
-    def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        full = {}
-        for lang, (points, ids) in packed.items():
-            full[lang] = np.zeros(0x110000, dtype="int32")
-            full[lang][points] = ids
-        none = np.zeros(0x110000, dtype="int32")
-        for langs, texts in batches:
-            yield pd.Series([
-                full.get(lang, none)[np.frombuffer(text.encode("utf-32-le"), dtype="<u4")]
-                for lang, text in zip(langs, texts)
-            ])
+    def encode(langs: pd.Series, texts: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+        for lang, part in texts.groupby(langs):
+            code = np.frombuffer("".join(part).encode("utf-32-le"), dtype="<u4").astype("int32")
+            ids = np.zeros(len(code), dtype="int32")
+            if lang in tables:
+                points, numbers = tables[lang]
+                at = np.minimum(np.searchsorted(points, code), len(points) - 1)
+                ids = np.where(points[at] == code, numbers[at], 0).astype("int32")
+            ends = np.cumsum(part.str.len().to_numpy())
+            for place, piece in zip(part.index, np.split(ids, ends[:-1])):
+                out[place] = piece
+        return out
 
     return lines.select("lang", "file", "slab", "seq",
                         encode("lang", F.concat("line", F.lit("\n"))).alias("ids"))
@@ -148,26 +149,30 @@ def embed_words(words: DataFrame, vectors: DataFrame, dim: int, steps: int = 4,
                 key: str = "word") -> DataFrame:
     """Distinct ``key`` values -> (key, matched, step, vector), first hit of the fallback order.
 
-    All fallback forms of a word meet the vectors in one equi-join. No hit gives step -1 and a constant
-    vector. Both sides are distinct words, so no key is hot.
+    No hit gives step -1 and a constant vector. Many words may share a form (all numbers of ten digits do),
+    so forms are weighed by their words and joined as ``lookup_join`` does. The step is resolved without
+    vectors; a vector meets only the words that end up with it.
     """
     probes = words.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    table = vectors.select(F.col("word").alias("_entry"), "vector")
+    lang = F.lit("").alias("lang")
     forms = (
         probes.select(key, F.explode(fallback_keys(F.col(key), steps)).alias("f"))
-        .groupBy(key, F.col("f.key").alias("_form")).agg(F.min("f.step").alias("step"))
+        .groupBy(key, F.col("f.key").alias("word_form")).agg(F.min("f.step").alias("step"))
+        .select(F.col(key).alias("_key_of"), F.col("word_form").alias("word"), "step", lang)
     )
+    known = vectors.select("word").distinct()
+    weighed = forms.groupBy("word").agg(F.count("*").alias("n")).join(known, "word").select(lang, "word", "n")
     hits = (
-        forms.join(table, F.col("_form") == F.col("_entry"))
-        .groupBy(key).agg(F.min_by(F.struct(F.col("_entry").alias("matched"), "step", "vector"), "step").alias("h"))
+        lookup_join(forms, weighed, "n", [F.col("_key_of")], "inner")
+        .groupBy("_key_of").agg(F.min(F.struct("step", "word")).alias("h"))
+        .select("_key_of", F.col("h.word").alias("word"), "h.step", lang)
     )
+    table = vectors.select("word", "vector").join(hits.groupBy("word").agg(F.count("*").alias("n")), "word")
+    found = lookup_join(hits, table.select(lang, "word", "n", "vector"), "n", [F.col("_key_of")], "inner")
     blank = F.array_repeat(F.lit(float(default)).cast("float"), dim)
-    return probes.join(hits, key, "left").select(
-        key,
-        F.col("h.matched").alias("matched"),
-        F.coalesce("h.step", F.lit(-1).cast("bigint")).alias("step"),
-        F.coalesce("h.vector", blank).alias("vector"),
-    )
+    found = found.select(F.col("_key_of").alias(key), F.col("word").alias("matched"), "step", "vector")
+    return probes.join(found, key, "left").select(
+        key, "matched", F.coalesce("step", F.lit(-1).cast("bigint")).alias("step"), F.coalesce("vector", blank).alias("vector"))
 
 
 def embed_tokens(tokens: DataFrame, vectors: DataFrame, dim: int, steps: int = 4, default: float = 0.0,
