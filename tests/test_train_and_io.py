@@ -28,7 +28,7 @@ def gap(vectors):
 
 @pytest.mark.parametrize("train", [
     lambda k: trainers.train_glove(k, GloveSettings(vector_size=10, max_iter=4, window_size=4, x_max=50, rate=0.3, local_passes=30)),
-    lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3), distributed=True),
+    lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3, local_passes=30)),
     lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3, hs=0, negative=4, local_passes=30)),
     lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3, sg=0, hs=0, negative=4), 1500),
     lambda k: trainers.train_fasttext(k, FastTextSettings(dim=10, epoch=6, lr=0.3, minn=5, maxn=5, bucket=500, t=0), 1500),

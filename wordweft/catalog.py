@@ -736,13 +736,15 @@ def bpe_merges(spark, sf_dir):
     return bpe.bpe_tables(spark, document_merges(spark, sf_dir))[1]
 
 
-@query()
+@query(f"WITH {_KEPT} SELECT lang, file, seq, line AS decoded, true AS is_padded FROM kept")
 def mlm_encode(spark, sf_dir):
-    """Byte-pair ids of each whole line, padded, with the attention mask."""
-    encoded = bpe.encode_text(kept_lines(spark, sf_dir), document_merges(spark, sf_dir))
+    """Byte-pair ids of each whole line, padded and masked, then decoded to text again."""
+    merges = document_merges(spark, sf_dir)
+    encoded = bpe.encode_text(kept_lines(spark, sf_dir), merges)
     ids = lm.padded(F.col("ids"), _POSITIONS)
-    return encoded.select("lang", "file", "seq", F.size("ids").cast("bigint").alias("n_tokens"),
-                          ids.alias("input_ids"), lm.attention(ids).alias("attention_mask"))
+    held = F.aggregate(lm.attention(ids), F.lit(0), lambda a, x: a + x.cast("int"))
+    fits = (F.size(ids) == _POSITIONS) & (held == F.least(F.size("ids") + 2, F.lit(_POSITIONS)))
+    return encoded.select("lang", "file", "seq", bpe.decoder(merges)("ids").alias("decoded"), fits.alias("is_padded"))
 
 
 _MASK, _POSITIONS = 0.15, 512
@@ -776,7 +778,9 @@ _TRAIN_DIM = 32
 
 
 def _vectors(model: trainers.Model) -> DataFrame:
-    return _vector_rows(model.vectors)
+    """Vector rows, and whether the loss fell: an untrained table would not pass."""
+    fell = len(model.losses) > 1 and model.losses[-1] < model.losses[0]
+    return _vector_rows(model.vectors).withColumn("loss_fell", F.lit(fell))
 
 
 def _vector_rows(vectors: DataFrame) -> DataFrame:
@@ -785,9 +789,18 @@ def _vector_rows(vectors: DataFrame) -> DataFrame:
                           finite.alias("is_finite"))
 
 
-def _sql_vectors(algorithm: str) -> str:
-    return f"""WITH {_VOCAB} SELECT lang, '{algorithm}' AS algorithm, -1::bigint AS size, word,
-  {_TRAIN_DIM}::bigint AS dim, true AS is_finite FROM vocab"""
+# Word vectors of the word2vec family drop blank lines only.
+_ANY_LEAD = f" AND NOT regexp_matches(line, '^{_CORRUPT}')"
+_VOCAB_ANY = _VOCAB.replace(_ANY_LEAD, "")
+
+
+def any_lead_lines(spark, sf_dir) -> DataFrame:
+    return corpus.kept_lines_from_texts(documents(spark, sf_dir), corrupt_scope=None)
+
+
+def _sql_vectors(algorithm: str, vocabulary: str = _VOCAB) -> str:
+    return f"""WITH {vocabulary} SELECT lang, '{algorithm}' AS algorithm, -1::bigint AS size, word,
+  {_TRAIN_DIM}::bigint AS dim, true AS is_finite, true AS loss_fell FROM vocab"""
 
 
 def _w2v(**changes) -> Word2VecSettings:
@@ -795,25 +808,25 @@ def _w2v(**changes) -> Word2VecSettings:
     return Word2VecSettings.of(base | changes)
 
 
-@query(_sql_vectors("w2v-skipgram"))
+@query(_sql_vectors("w2v-skipgram", _VOCAB_ANY))
 def w2v_skipgram(spark, sf_dir):
-    return _vectors(trainers.train_word2vec(kept_lines(spark, sf_dir), _w2v()))
+    return _vectors(trainers.train_word2vec(any_lead_lines(spark, sf_dir), _w2v()))
 
 
-@query(_sql_vectors("w2v-skipgram"))
+@query(_sql_vectors("w2v-skipgram", _VOCAB_ANY))
 def w2v_skipgram_tree(spark, sf_dir):
-    """The same over a code tree without a driver-side model, as for large vocabularies."""
-    return _vectors(trainers.train_word2vec(kept_lines(spark, sf_dir), _w2v(), distributed=True))
+    """A narrower window."""
+    return _vectors(trainers.train_word2vec(any_lead_lines(spark, sf_dir), _w2v(window=3)))
 
 
-@query(_sql_vectors("w2v-skipgram"))
+@query(_sql_vectors("w2v-skipgram", _VOCAB_ANY))
 def w2v_skipgram_noise(spark, sf_dir):
-    return _vectors(trainers.train_word2vec(kept_lines(spark, sf_dir), _w2v(hs=0, negative=2)))
+    return _vectors(trainers.train_word2vec(any_lead_lines(spark, sf_dir), _w2v(hs=0, negative=2)))
 
 
-@query(_sql_vectors("w2v-cbow"))
+@query(_sql_vectors("w2v-cbow", _VOCAB_ANY))
 def w2v_cbow(spark, sf_dir):
-    return _vectors(trainers.train_word2vec(kept_lines(spark, sf_dir), _w2v(sg=0), chunk_tokens=60_000))
+    return _vectors(trainers.train_word2vec(any_lead_lines(spark, sf_dir), _w2v(sg=0), chunk_tokens=60_000))
 
 
 @query(_sql_vectors("GloVe"))
@@ -823,7 +836,7 @@ def glove_train(spark, sf_dir):
 
 
 def _fasttext(model: str) -> FastTextSettings:
-    return FastTextSettings(model=model, dim=_TRAIN_DIM, epoch=2, minCount=MIN_COUNT, minn=3, maxn=5, bucket=50_000,
+    return FastTextSettings(model=model, dim=_TRAIN_DIM, epoch=2, minCount=MIN_COUNT, minn=3, maxn=5, bucket=_BUCKETS,
                             neg=3, t=0.001, seed=SEED)
 
 
@@ -837,35 +850,58 @@ def fasttext_cbow(spark, sf_dir):
     return _vectors(trainers.train_fasttext(kept_lines(spark, sf_dir), _fasttext("cbow"), chunk_tokens=60_000))
 
 
-@query()
+_BUCKETS = 50_000
+
+
+@query(f"""WITH {_COUNTS},
+marked AS (SELECT lang, word, n, '<' || word || '>' AS m FROM counts),
+starts AS (SELECT lang, word, n, m, l, unnest(range(1, length(m) - l + 2)) AS start FROM marked, range(3, 6) x(l)),
+grams AS (SELECT DISTINCT lang, word, n, ('0x' || substr(md5(substr(m, start::bigint, l::bigint)), 1, 8))::bigint % {_BUCKETS} AS bucket FROM starts),
+trained AS (SELECT DISTINCT lang, bucket FROM grams WHERE n >= {MIN_COUNT})
+SELECT DISTINCT g.lang, g.word, {_TRAIN_DIM}::bigint AS dim, true AS is_finite
+FROM grams g JOIN trained t ON g.lang = t.lang AND g.bucket = t.bucket WHERE g.n < {MIN_COUNT}""")
 def oov_trained(spark, sf_dir):
     """Vectors of the words below the minimum count, from n-gram rows that training has moved."""
     settings = _fasttext("skipgram")
     model = trainers.train_fasttext(kept_lines(spark, sf_dir), settings, chunk_tokens=60_000)
     rare = vocab.word_counts(document_tokens(spark, sf_dir)).where(F.col("n") < MIN_COUNT)
-    return trainers.unseen_vectors(model, rare, settings)
+    found = trainers.unseen_vectors(model, rare, settings)
+    return found.select("lang", "word", F.size("vector").cast("bigint").alias("dim"),
+                        F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6)).alias("is_finite"))
 
 
-@query()
+_CURVE_INIT = 400
+
+
+@query(f"""WITH {_TOKENS.replace(_ANY_LEAD, "")}{_CURVE.replace("100 *", f"{_CURVE_INIT} *")}
+SELECT r.lang, 'w2v-skipgram' AS algorithm, r.size, t.word, {_TRAIN_DIM}::bigint AS dim, true AS is_finite
+FROM runs r JOIN tokens t ON r.lang = t.lang AND t.i < r.size GROUP BY r.lang, r.size, t.word HAVING count(*) >= {MIN_COUNT}""")
 def curve_w2v(spark, sf_dir):
     """One model per size of the learning curve."""
-    lines = ordered_lines(spark, sf_dir)
-    found = trainers.train_curve(lines, 400, lambda part: trainers.train_word2vec(part, _w2v(epochs=1)))
+    lines = with_ordinal(any_lead_lines(spark, sf_dir))
+    found = trainers.train_curve(lines, _CURVE_INIT, lambda part: trainers.train_word2vec(part, _w2v(epochs=1)))
     return _vector_rows(found)
 
 
 # ---------------------------------------------------------------- L. runs and trials
 
 
-@query()
+@query(f"""WITH {_TOKENS}, placed AS (SELECT lang AS tag, {_sql_u(SEED, 'file', 'seq')} < 0.1 AS dev FROM tokens)
+SELECT count(*) FILTER (NOT dev) AS n_train, count(*) FILTER (dev) AS n_test, true AS above_majority FROM placed""")
 def downstream_score(spark, sf_dir):
-    """Tag each token with its language from the given vectors; a hash tenth of the sentences is the test."""
+    """Tag each token with its language from the given vectors; a hash tenth of the sentences is the test.
+
+    The accuracy must beat the share of the most frequent tag in the test.
+    """
     lines = kept_lines(spark, sf_dir)
     tokens = shape.tokens_of(lines)
     dev = hash_uniform(SEED, F.col("file"), F.col("seq")) < 0.1
     tagged = tokens.select(F.when(dev, "test").otherwise("train").alias("split"), "file", F.col("seq").alias("sent_id"),
                            "pos", F.col("word").alias("token"), F.col("lang").alias("tag"))
-    return scoring.downstream_score(tagged, word_vectors(spark, sf_dir), DIM, max_iter=5)
+    found = scoring.downstream_score(tagged, word_vectors(spark, sf_dir), DIM, max_iter=5)
+    shares = tagged.where("split = 'test'").groupBy("tag").agg(F.count("*").alias("n"))
+    majority = shares.agg((F.max("n") / F.sum("n")).alias("majority"))
+    return found.join(majority).select("n_train", "n_test", (F.col("accuracy") > F.col("majority")).alias("above_majority"))
 
 
 SPACE = {
@@ -873,9 +909,9 @@ SPACE = {
     "alpha": {"uniform": [0.01, 0.1]},
     "sample": {"loguniform": [0.00001, 0.01]},
     "ns_exponent": {"quniform": [0.2, 1.0, 0.05]},
-    "rate": {"qloguniform": [0.0001, 0.1, 0.00005]},
-    "shift": {"randn": [10, 2]},
-    "shift_q": {"qrandn": [10, 2, 0.2]},
+    "rate": {"qloguniform": [0.002, 0.3, 0.0005]},
+    "shift": {"randn": [4, 1.5]},
+    "shift_q": {"qrandn": [4, 1.5, 0.25]},
     "min_count": {"randint": [2, 30]},
     "epochs": {"qrandint": [5, 50, 5]},
     "window": {"lograndint": [2, 30]},

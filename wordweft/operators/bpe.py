@@ -182,6 +182,19 @@ def encoder(merges: list[tuple[str, str]]):
     return encode
 
 
+def decoder(merges: list[tuple[str, str]]):
+    """Arrow UDF: array of token ids -> text. Special tokens spell nothing."""
+    tokens = list(dict.fromkeys(SPECIALS + sorted(byte_alphabet()) + [a + b for a, b in merges]))
+    byte_of = {c: bytes([b]) for b, c in enumerate(byte_alphabet())}
+    spelled = [b"" if t in SPECIALS else b"".join(byte_of[c] for c in t) for t in tokens]
+
+    @pandas_udf("string")
+    def decode(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda ids: b"".join([spelled[i] for i in ids]).decode("utf-8", "replace"))
+
+    return decode
+
+
 def encode_text(lines: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     """(lang, file, slab, seq, ids): token ids of each whole line, without boundary ids."""
     symbols = F.transform(pretokens(F.col("line")), to_symbols)

@@ -20,13 +20,15 @@ def exclusive_scan(df: DataFrame, group: list[str], order: list[str], value: str
 
     An integer first key is cut into runs of 2**12 key values; each run is summed on its own, and the
     run totals are scanned the same way, one radix level up. Three levels cover 10**10 dense keys with
-    windows of a few thousand rows. Other keys (paths) take one window: their rows are file splits,
-    so a terabyte of text is some eight thousand rows.
+    windows of a few thousand rows. Other keys (paths) are range-partitioned, summed per partition, and
+    only the partition sums are scanned in one window.
     """
     key = order[0]
     if levels is None:
         integral = df.schema[key].dataType.typeName() in ("long", "integer", "short")
         levels = 2 if integral else 0
+        if not integral:
+            return _range_scan(df, group, order, value, out)
     if levels == 0:
         return df.withColumn(out, _sum_before(Window.partitionBy(*group).orderBy(*order), value))
     run, total, start = f"_run{levels}", f"_total{levels}", f"_start{levels}"
@@ -42,6 +44,20 @@ def exclusive_scan(df: DataFrame, group: list[str], order: list[str], value: str
     )
 
 
+def _range_scan(df: DataFrame, group: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    """``exclusive_scan`` over keys of any type. Ranges are sampled, so rows are cut before they are summed."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*group, *order]
+    placed = cut(df.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id()))
+    sums = placed.groupBy(*group, "_part").agg(F.sum(value).alias("_sum"))
+    starts = sums.select(*group, "_part", _sum_before(Window.partitionBy(*group).orderBy("_part"), "_sum").alias("_start"))
+    inside = _sum_before(Window.partitionBy(*group, "_part").orderBy(*order), value)
+    return (
+        placed.withColumn("_inside", inside).join(F.broadcast(starts), [*group, "_part"])
+        .withColumn(out, F.col("_inside") + F.col("_start")).drop("_inside", "_start", "_part")
+    )
+
+
 def _sum_before(window, value: str) -> Column:
     before = window.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(value).over(before), F.lit(0))

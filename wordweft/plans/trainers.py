@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +14,6 @@ from .cells import fit_pairs, noise_pairs, path_codes, tree_pairs
 from .config import FastTextSettings, GloveSettings, Word2VecSettings
 from .sentences import Objective, fit_sentences
 
-# The MLlib trainer keeps the whole model on the driver and broadcasts it: allowed up to this many floats.
-LOCAL_MODEL_FLOATS = 20_000_000
 # Feature ids of n-gram buckets start here, behind all word ids.
 BUCKET_BASE = 1 << 40
 
@@ -44,22 +40,27 @@ def _prepared(kept: DataFrame, min_count: int, limit: int | None, sample: float
 
 
 def _sampled(kept: DataFrame, words: DataFrame, sample: float, seed: int, keep_empty: bool) -> DataFrame:
-    """Lines without the occurrences that subsampling drops.
+    """Lines without the occurrences that subsampling drops; an occurrence is drawn by its place.
 
-    Only words above the sampling share can lose any; a share bounds their number, so they are broadcast.
+    Only words above the sampling share can lose any; they are joined like other hot words, unbounded.
     """
     totals = words.groupBy("lang").agg(F.sum("n").alias("_total"))
     odds = vocab.keep_probability(F.col("n"), F.col("_total"), sample)
-    frequent = words.join(totals, "lang").select("lang", "word", odds.alias("_q")).where(F.col("_q") < 1.0)
+    frequent = words.join(totals, "lang").select("lang", "word", odds.alias("_q"), "n").where(F.col("_q") < 1.0)
     drawn = hash_uniform(seed, F.col("file"), F.col("seq"), F.col("pos"))
-    rest = (
-        shape.tokens_of(kept, keep_empty).join(F.broadcast(frequent), ["lang", "word"], "left")
-        .where(F.col("_q").isNull() | (drawn < F.col("_q")))
-    )
+    rest = lookup.lookup_join(
+        shape.tokens_of(kept, keep_empty), frequent, "n", [F.col("file"), F.col("seq"), F.col("pos")], "left"
+    ).where(F.col("_q").isNull() | (drawn < F.col("_q")))
     return rest.groupBy("lang", "file", "slab", "seq").agg(
         F.array_join(F.array_sort(F.collect_list(F.struct("pos", "word")))["word"], " ").alias("line"))
 
 
+def _nothing(kept: DataFrame) -> Model:
+    """The model of a corpus without any word left: a vectors table without rows."""
+    return Model(kept.sparkSession.createDataFrame(
+        [], "lang string, algorithm string, size bigint, word string, vector array<float>"), [])
+
+
 def _named(found: DataFrame, words: DataFrame, algorithm: str) -> DataFrame:
     return found.join(words.select("lang", "id", "word"), ["lang", "id"]).select(
         "lang", F.lit(algorithm).alias("algorithm"), F.lit(-1).cast("bigint").alias("size"), "word", "vector")
@@ -73,6 +74,8 @@ def train_glove(kept: DataFrame, settings: GloveSettings) -> Model:
     """Kept lines -> vectors W + C of the merged rows' co-occurrences."""
     seed = settings.seed or 1
     words, sentences = _prepared(shape.merged_rows(kept), settings.vocab_min_count, None, None, seed, carry=("doc_ord",))
+    if words.isEmpty():
+        return _nothing(kept)
     counted = pairs.cooccurrence(pairs.position_chunks(sentences, settings.window_size), settings.window_size)
     params, losses = fit_pairs(
         counted.select("lang", "w", "c", F.col("x").alias("a"), F.lit(0.0).alias("b")), words,
@@ -86,15 +89,12 @@ def train_glove(kept: DataFrame, settings: GloveSettings) -> Model:
     return Model(_named(both, words, "GloVe"), losses, params)
 
 
-def train_word2vec(kept: DataFrame, settings: Word2VecSettings, chunk_tokens: int = 1_000_000,
-                   distributed: bool | None = None) -> Model:
-    """Skip-gram or bag of words.
-
-    Skip-gram over a code tree is what MLlib trains, on a model that the driver holds; it is used while
-    the vocabulary is small enough for that. Beyond, and for noise words, the counted pairs are factored.
-    """
+def train_word2vec(kept: DataFrame, settings: Word2VecSettings, chunk_tokens: int = 1_000_000) -> Model:
+    """Skip-gram (counted pairs, factored) or bag of words (sentence chunks), over a code tree or noise words."""
     seed = settings.seed or 1
     words, sentences = _prepared(kept, settings.min_count, settings.max_final_vocab, settings.sample, seed, True)
+    if words.isEmpty():
+        return _nothing(kept)
     name = "w2v-skipgram" if settings.sg else "w2v-cbow"
     negative = 0 if settings.hs else settings.negative
     shares = vocab.noise_distribution(words, settings.ns_exponent)
@@ -105,11 +105,6 @@ def train_word2vec(kept: DataFrame, settings: Word2VecSettings, chunk_tokens: in
         params, losses = fit_sentences(sentences, units, shares, tree, objective, settings.vector_size, settings.epochs,
                                        settings.alpha, settings.min_alpha, seed, chunk_tokens)
         return Model(_named(_inputs(params), words, name), losses, params)
-    if distributed is None:
-        top = words.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
-        distributed = bool(negative) or top * settings.vector_size > LOCAL_MODEL_FLOATS
-    if not distributed:
-        return Model(_mllib_word2vec(sentences, words, settings, seed), [])
     counts = pairs.skipgram_pairs(sentences, settings.window, seed=seed)
     counted = noise_pairs(counts, shares, negative, seed) if negative else tree_pairs(counts, path_codes(tree))
     params, losses = fit_pairs(counted, words, settings.vector_size, settings.epochs, settings.alpha, settings.min_alpha,
@@ -117,23 +112,6 @@ def train_word2vec(kept: DataFrame, settings: Word2VecSettings, chunk_tokens: in
     return Model(_named(_inputs(params), words, name), losses, params)
 
 
-def _mllib_word2vec(sentences: DataFrame, words: DataFrame, settings: Word2VecSettings, seed: int) -> DataFrame:
-    """One MLlib model per language, on word ids; sentences are already filtered."""
-    parts = []
-    partitions = max(1, min(8, sentences.sparkSession.sparkContext.defaultParallelism))
-    for row in words.select("lang").distinct().collect():
-        rows = sentences.where(F.col("lang") == row["lang"]).select(F.col("ids").cast("array<string>").alias("s"))
-        model = Word2Vec(
-            vectorSize=settings.vector_size, windowSize=settings.window, minCount=0, maxIter=settings.epochs,
-            stepSize=settings.alpha, seed=seed, numPartitions=partitions, inputCol="s", outputCol="v").fit(rows)
-        parts.append(model.getVectors().select(
-            F.lit(row["lang"]).alias("lang"), F.col("word").cast("bigint").alias("id"), "vector"))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return _named(whole.withColumn("vector", vector_to_array("vector", "float32")), words, "w2v-skipgram")
-
-
 def word_units(words: DataFrame, settings: FastTextSettings) -> DataFrame:
     """(lang, id, ids): each word's own row and the rows of its hashed n-grams."""
     grams = subword.ngrams_of(F.col("word"), settings.minn, settings.maxn)
@@ -144,6 +122,8 @@ def word_units(words: DataFrame, settings: FastTextSettings) -> DataFrame:
 def train_fasttext(kept: DataFrame, settings: FastTextSettings, chunk_tokens: int = 1_000_000) -> Model:
     seed = settings.seed or 1
     words, sentences = _prepared(kept, settings.minCount, None, settings.t, seed)
+    if words.isEmpty():
+        return _nothing(kept)
     units = word_units(words, settings) if settings.maxn else words.select("lang", "id", F.array("id").alias("ids"))
     objective = Objective(settings.model == "cbow", settings.ws, settings.neg if settings.loss == "ns" else 0, True, False)
     params, losses = fit_sentences(
@@ -171,6 +151,8 @@ def train_curve(lines: DataFrame, init: int, train) -> DataFrame:
     totals = lines.groupBy("lang").agg(F.count("*").alias("n_lines"))
     sizes = shape.curve_sizes(totals, init)
     last = sizes.agg(F.max("run")).first()[0]
+    if last is None:
+        return _nothing(lines).vectors
     whole = None
     for run in range(int(last) + 1):
         size = init * 2 ** run
