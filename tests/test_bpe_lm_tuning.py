@@ -126,7 +126,7 @@ def test_trials(spark):
 def test_settings():
     assert Word2VecSettings.of({"window": {"randint": [3, 9]}}).window == 3
     with pytest.raises(ValueError):
-        FastTextSettings.of({"autotuneMetric": "f1"})
+        FastTextSettings.of({"autotuneMetrics": "f1"})
     with pytest.raises(ValueError):
         Word2VecSettings(hs=0, negative=0)
     with pytest.raises(ValueError):

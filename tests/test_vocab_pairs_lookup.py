@@ -80,7 +80,7 @@ def test_noise_draws_by_brute_force(spark, kept):
     draws = spark.range(3000).select(F.element_at(F.array(F.lit("aa"), F.lit("bb")), (F.col("id") % 2 + 1).cast("int")).alias("lang"),
                                      F.col("id").alias("k"), hash_uniform(5, F.col("id")).alias("u"))
     table = noise.collect()
-    for buckets in (1, 3, 4096):
+    for buckets in (None, 1, 3, 4096):
         got = pairs.draw_noise(draws, noise, buckets=buckets).collect()
         assert len(got) == 3000
         for r in got[::13]:

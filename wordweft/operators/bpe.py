@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,8 +150,8 @@ def bpe_tables(spark: SparkSession, merges: list[tuple[str, str]]) -> tuple[Data
 def encoder(merges: list[tuple[str, str]]):
     """Arrow UDF: array of pre-token symbol strings -> array of token ids.
 
-    The merge list is bounded by the vocabulary size. Lines are encoded where they are; a bounded memo
-    saves repeated words, so no token is shuffled to a word table and back.
+    The merge list is bounded by the vocabulary size. Lines are encoded where they are: the distinct pieces of a
+    batch are merged once (a bounded memo spans batches), so no token is shuffled to a word table and back.
     """
     rank = {pair: i for i, pair in enumerate(merges)}
     tokens = SPECIALS + sorted(byte_alphabet()) + [a + b for a, b in merges]
@@ -177,7 +178,17 @@ def encoder(merges: list[tuple[str, str]]):
             return tuple(ids[p] for p in parts)
 
         for batch in batches:
-            yield batch.map(lambda words: [i for w in words for i in word_ids(w)])
+            lengths = batch.map(len).to_numpy()
+            flat = np.concatenate([*batch, np.array([], object)])
+            at, distinct = pd.factorize(flat)
+            known = [word_ids(w) for w in distinct]
+            sizes = np.array([len(k) for k in known], np.int64)
+            pool = np.fromiter((i for k in known for i in k), np.int32, int(sizes.sum()))
+            size = sizes[at]
+            ends = np.cumsum(size)
+            flat_ids = pool[np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - size), size) + np.arange(int(size.sum()))]
+            stops = np.concatenate([[0], ends])[np.cumsum(lengths)]
+            yield pd.Series(np.split(flat_ids, stops[:-1]) if len(batch) else [], dtype=object)
 
     return encode
 
