@@ -16,8 +16,8 @@ table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
-import itertools
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -35,7 +35,7 @@ OPEN_BINS = 256
 FAN = 16
 VOCABULARY = "word_bpe_49k.json"
 #: Words that a worker remembers, and the longest such word.
-REMEMBERED, WORD_CHARS = 500_000, 40
+REMEMBERED, WORD_CHARS = 250_000, 40
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PLACED = PIECES + ", sequence_id bigint, offset bigint, closed boolean"
@@ -70,8 +70,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
         self.byte_chars = self._byte_chars()
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -87,18 +87,20 @@ class WordEncoder:
         rest = iter(range(0x100, 0x200))
         return [chr(b) if b in printable else chr(next(rest)) for b in range(256)]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
+        """Ids of one word, packed: remembered words cost their bytes, not an object per id."""
         plain = self._LETTERS.fullmatch(word)
         if plain is None:
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         letters, mark = plain.groups()
         letters = letters.lower()
         if not letters.isascii():
             letters = "".join([self.byte_chars[b] for b in letters.encode()])
         ids = [token.id for token in self.merges.tokenize(letters)]
-        return ids + self._lookup([mark])[0] if mark else ids
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        return packed + self._lookup([mark])[0] if mark else packed
 
-    def _lookup(self, words: list[str]) -> list[list[int]]:
+    def _lookup(self, words: list[str]) -> list[bytes]:
         """Ids of each word. Two generations of remembered words bound the memory."""
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
@@ -123,8 +125,8 @@ class WordEncoder:
         coded = words.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
         ids_of = self._lookup(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
-        pool = np.fromiter(itertools.chain.from_iterable(ids_of), "<u4", int(sizes.sum()))
+        sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
+        pool = np.frombuffer(b"".join(ids_of), "<u4")
         size = sizes[index]
         ends = np.cumsum(size)
         flat = pool[np.repeat((np.cumsum(sizes) - sizes)[index] - (ends - size), size) + np.arange(int(size.sum()))]
@@ -137,7 +139,7 @@ class WordEncoder:
         return out
 
 
-def slices(lengths: list[int], most: int = 8_000_000) -> Iterator[tuple[int, int]]:
+def slices(lengths: list[int], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Consecutive (offset, rows) of at most ``most`` bytes, or one row."""
     start, held = 0, 0
     for k, n in enumerate(lengths):
@@ -249,6 +251,7 @@ def pack(docs: DataFrame, length: int = LENGTH, places: int = OPEN_BINS, fan: in
                     for doc_id, ids in zip(ids_of[lo:lo + n], encoder.encode(texts.slice(lo, n))):
                         for piece, start, part in cut(ids, length):
                             yield (doc_id, piece, start, len(part), zlib.crc32(part.tobytes())), len(part)
+                pa.default_memory_pool().release_unused()
         yield from _pack(pieces(), _first(0), length, places, False)
 
     placed = keep(doc_text(docs).mapInArrow(first_round, PLACED), "packed")

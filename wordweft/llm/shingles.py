@@ -68,7 +68,7 @@ def set_digest(shingles: np.ndarray) -> str:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).hexdigest()
 
 
-def slices(texts: pa.Array, most: int = 16_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Consecutive (offset, rows) of at most ``most`` bytes of text, or one row."""
     start, held = 0, 0
     lengths = pc.binary_length(texts).to_pylist()
