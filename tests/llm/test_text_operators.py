@@ -159,3 +159,23 @@ def test_pseudonyms_are_a_permutation(spark):
     dates = spark.range(0, 146_000, 97).selectExpr("id as doc_id", "cast(date_add(date'1800-01-01', cast(id as int)) as string) as text")
     new = [r["text"] for r in pii.pseudonyms(dates).collect()]
     assert len(set(new)) == len(new) and all("1800-01-01" <= d <= "2199-09-26" for d in new)
+
+
+def test_cards_beside_other_numbers(texts_of):
+    card, other = "4111111111111111", "378282246310005"
+    spaced, dashed, amex = "4111 1111 1111 1111", "4111-1111-1111-1111", "3782 822463 10005"
+    # Text with each value in brackets; the rest has to stay as it is.
+    marked = [f"[{spaced}] 123", f"[{card}] 12", f"row 7 [{card}]", f"[{card}] [192.168.0.1]", f"[{card}]-", "[2024-01-15]-", "-[2024-01-15]",
+              f"order-[{card}]", f"12 [{dashed}] 3", f"1234 [{spaced}] 12 [{amex}] 9", f"[{card}] [2024-01-15]", f"[2024-01-15] [{card}] 5",
+              f"[{card}] [171-555-2028]", "[171-555-2028]-", f"[{card}] [12@mail.example.com]", f"[{card}] [{other}]", "[41111111 11111111] 12",
+              "[4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1]", "4111111111111112 12", "x" + "1" * 40, "1 2 " * 5000 + f"x [{card}]"]
+    texts = [m.replace("[", "").replace("]", "") for m in marked]
+    got = {r["doc_id"]: r for r in pii.pseudonyms(texts_of(texts)).collect()}
+    for k, m in enumerate(marked):
+        values = re.findall(r"\[(.*?)\]", m)
+        form = "(.*?)".join(re.escape(x) for x in re.split(r"\[.*?\]", m))
+        new = re.fullmatch(form, got[k]["text"], re.S)
+        if k < len(marked) - 1:
+            assert new and got[k]["n_found"] == len(values), (m, got[k])
+            assert all(a != b for a, b in zip(values, new.groups(), strict=True)), (m, got[k])
+    assert card not in got[len(marked) - 1]["text"]
