@@ -95,3 +95,39 @@ def test_toxicity_edges(spark, edge, empty):
     nothing = toxicity.train(edge, labels.where("false"))
     assert {r["score"] for r in toxicity.score(edge, nothing).collect()} == {0.0}
     assert {r["score"] for r in toxicity.score(edge, toxicity.train(edge, labels.where("toxic = 1"))).collect()} == {1.0}
+
+
+def skewed(n, common, rare, seed):
+    """Texts of which every fourth has the common word or, in two of five, one of the rare ones."""
+    rng, rows, out = random.Random(seed), planted(n, seed), []
+    for k, text, toxic in rows:
+        words = [w for w in text.split() if w not in INSULTS]
+        said = rng.choice(rare) if k % 5 < 2 else common
+        for _ in range(4 if toxic else 0):
+            words.insert(rng.randrange(len(words)), said)
+        out.append((" ".join(words), toxic, said if toxic else None))
+    return out
+
+
+def recall_of_rare(common, rare):
+    fitted, held = skewed(2400, common, rare, 11), skewed(1200, common, rare, 12)
+    model = toxicity.fit([t for t, toxic, _ in fitted if toxic], [t for t, toxic, _ in fitted if not toxic])
+    scores = model.probability([t for t, _, _ in held]) >= toxicity.THRESHOLD
+    rows = [(p, w) for p, (_, _, w) in zip(scores, held, strict=True)]
+    assert sum(p for p, w in rows if w is None) / len(rows) < 0.02
+    return np.mean([p for p, w in rows if w in rare])
+
+
+def test_rare_toxic_words_count_beside_a_frequent_one():
+    assert recall_of_rare("gronkface", [f"vil{a}{b}mog" for a in "kpqz" for b in "uyw"]) > 0.85
+
+
+def test_short_toxic_words_count():
+    assert recall_of_rare("gronkface", ["zuk", "qy", "pyx", "wub"]) > 0.85
+
+
+def test_chance_words_are_not_toxic():
+    rng = random.Random(3)
+    sides = [[{f"w{rng.randrange(20_000)}" for _ in range(100)} for _ in range(n)] for n in (400, 3000)]
+    assert not toxicity.toxic_words(*sides)
+    assert set(toxicity.toxic_words([s | {"vilmog"} if k < 30 else s for k, s in enumerate(sides[0])], sides[1])) == {"vilmog"}

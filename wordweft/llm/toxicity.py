@@ -7,7 +7,9 @@ document into a probability.
 
 Training text. Most of a toxic document is ordinary text, on which a dictionary learns nothing about the
 class. Toxic samples therefore keep the words that recur in distinct toxic documents and that ordinary
-documents hardly have. Both compressors hold the ordinary dictionary, the toxic one holds the toxic
+documents hardly have: those that are significantly more than TEST_LIFT times likelier in toxic documents
+(one-sided binomial test, false discovery rate ERROR_RATE over all words tested), however rare they are next to other toxic words. A toxic
+word too short to be matched is spelled with a tail of its own, in the dictionary and in the windows. Both compressors hold the ordinary dictionary, the toxic one holds the toxic
 dictionary as well, so that ordinary text costs the same in both. Windows are compressed behind a carrier
 text that both dictionaries end with, so a short window never falls back to stored bytes.
 
@@ -25,8 +27,9 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -38,9 +41,11 @@ from .common import doc_text, first_hashed, remainder, texts_by_id, with_fresh
 FIT_DOCS, FIT_CHARS = 2500, 30_000
 WINDOW, STEP = 64, 48
 ORDINARY_BYTES, TOXIC_BYTES, CARRIER = 32_768, 1024, 64
-#: A toxic sample word: recurs in this many documents, this much likelier than in ordinary ones, and at
-#: least this share as often as the most frequent such word.
-MIN_DOCS, MIN_LIFT, MIN_SHARE = 3, 8.0, 0.25
+#: A toxic sample word: recurs in this many documents, this much likelier than in ordinary ones. No more than a
+#: share ERROR_RATE of the words found may have a lift of TEST_LIFT or less and be there by chance.
+MIN_DOCS, MIN_LIFT, TEST_LIFT, ERROR_RATE = 3, 8.0, 2.0, 0.01
+#: The shortest match of the compressors, in bytes.
+MIN_MATCH = 6
 #: Margins, in bytes, whose passing the calibration weighs one by one, and the score of a rejection.
 THRESHOLDS = (3, 4, 5, 6)
 THRESHOLD = 0.7
@@ -56,6 +61,11 @@ def windows(data: bytes) -> list[bytes]:
     return [data[k:k + WINDOW] for k in range(0, max(1, len(data) - WINDOW + STEP), STEP)]
 
 
+def spelled(data: bytes, tails: dict[bytes, bytes]) -> bytes:
+    """Normalised bytes with the short toxic words spelled with their tails."""
+    return b" ".join(tails.get(w, w) for w in data.split(b" ")) if tails else data
+
+
 @dataclass
 class Model:
     """Dictionaries and calibration; small enough to travel with the tasks."""
@@ -65,6 +75,7 @@ class Model:
     carrier: bytes
     weights: tuple[float, ...]
     flat: float | None = None  # score of all documents where nothing could be learned
+    tails: dict[bytes, bytes] = field(default_factory=dict)  # spelling of toxic words too short for a match
 
     def compressors(self):
         import zstandard
@@ -72,7 +83,7 @@ class Model:
         for data in (self.ordinary + self.carrier, self.ordinary + self.toxic + self.carrier):
             dictionary = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             settings = zstandard.ZstdCompressionParameters.from_level(
-                3, strategy=zstandard.STRATEGY_GREEDY, min_match=6, window_log=17, source_size=WINDOW + CARRIER,
+                3, strategy=zstandard.STRATEGY_GREEDY, min_match=MIN_MATCH, window_log=17, source_size=WINDOW + CARRIER,
                 dict_size=len(data), write_content_size=0, write_checksum=0, write_dict_id=0)
             dictionary.precompute_compress(compression_params=settings)
             out.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=settings).compress)
@@ -83,7 +94,7 @@ class Model:
         ordinary, toxic = self.compressors()
         carrier, out = self.carrier, []
         for text in texts:
-            cuts = [carrier + w for w in windows(normalise(text))]
+            cuts = [carrier + w for w in windows(spelled(normalise(text), self.tails))]
             margins = [len(ordinary(w)) - len(toxic(w)) for w in cuts]
             most = max(margins)
             out.append((1.0, min(most, 12) / 4, *(float(most >= t) for t in THRESHOLDS),
@@ -96,13 +107,26 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ np.array(self.weights), -30, 30)))
 
 
+def _excess(n: int, total: int, share: float) -> float:
+    """The chance that ``n`` or more of ``total`` documents are toxic when a share of them is."""
+    at = [math.lgamma(total + 1) - math.lgamma(k + 1) - math.lgamma(total - k + 1)
+          + k * math.log(share) + (total - k) * math.log1p(-share) for k in range(n, total + 1)]
+    return sum(math.exp(x) for x in at)
+
+
 def toxic_words(toxic: list[set[str]], ordinary: list[set[str]]) -> dict[str, int]:
-    """Words that recur in toxic documents and hardly occur in ordinary ones, with their documents."""
+    """Words that recur in toxic documents and hardly occur in ordinary ones, with their documents.
+
+    The false discovery rate is held by Benjamini and Hochberg's steps; words in fewer than MIN_DOCS documents
+    of both classes cannot be found and are not tested."""
     seen, plain = Counter(w for words in toxic for w in words), Counter(w for words in ordinary for w in words)
     lift = len(ordinary) / max(1, len(toxic))
-    found = {w: n for w, n in seen.items() if n >= MIN_DOCS and n * lift >= MIN_LIFT * (plain[w] + 0.5)}
-    top = max(found.values(), default=0)
-    return {w: n for w, n in found.items() if n >= MIN_SHARE * top}
+    share = TEST_LIFT * len(toxic) / max(1, TEST_LIFT * len(toxic) + len(ordinary))
+    tested = sum(n + plain[w] >= MIN_DOCS for w, n in seen.items()) + sum(n >= MIN_DOCS for w, n in plain.items() if w not in seen)
+    found = [w for w, n in seen.items() if n >= MIN_DOCS and n * lift >= MIN_LIFT * (plain[w] + 0.5)]
+    chance = sorted((_excess(seen[w], seen[w] + plain[w], share), w) for w in found)
+    last = max((k for k, (p, _) in enumerate(chance, 1) if p * tested <= ERROR_RATE * k), default=0)
+    return {w: seen[w] for _, w in chance[:last]}
 
 
 def _trained(samples: list[bytes], size: int, k: int, d: int) -> bytes:
@@ -132,15 +156,17 @@ def fit(toxic: list[str], ordinary: list[str], share: float | None = None) -> Mo
     sides = [[normalise(t) for t in side] for side in (sorted(set(toxic)), sorted(set(ordinary)))]
     words = [[set(d.decode().split()) for d in side] for side in sides]
     chosen = toxic_words(*words)
+    tails = {w.encode(): f"{w}{zlib.crc32(w.encode()):08x}".encode() for w in chosen if len(w.encode()) + 2 < MIN_MATCH}
     cuts = [w for d in sides[1] for w in windows(d)]
     base = _trained(cuts[::max(1, len(cuts) // 60_000)], ORDINARY_BYTES, 48, 6)
     samples = [(" " + " ".join(w for w in d.decode().split() if w in chosen) + " ").encode() for d in sides[0]]
+    samples = [spelled(s, tails) for s in samples if len(s) > 2]
     samples = [s for s in samples if len(s) > 8]
     trained = _trained(samples, TOXIC_BYTES, 16, 8) if samples else b""
-    spelled = (" " + " ".join(sorted(chosen, key=lambda w: (chosen[w], w))) + " ").encode()
-    missing = [w for w in spelled.decode().split() if f" {w} ".encode() not in trained]
+    listed = spelled((" " + " ".join(sorted(chosen, key=lambda w: (chosen[w], w))) + " ").encode(), tails)
+    missing = [w for w in listed.decode().split() if f" {w} ".encode() not in trained]
     toxic_part = ((" " + " ".join(missing) + " ").encode() if missing else b"") + trained
-    model = Model(base[:-CARRIER], toxic_part, base[-CARRIER:], ())
+    model = Model(base[:-CARRIER], toxic_part, base[-CARRIER:], (), tails=tails)
     x = model.features([*toxic, *ordinary])
     y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
     model.weights = _calibrate(x, y, y.mean() if share is None else share)
