@@ -179,3 +179,16 @@ def test_cards_beside_other_numbers(texts_of):
             assert new and got[k]["n_found"] == len(values), (m, got[k])
             assert all(a != b for a, b in zip(values, new.groups(), strict=True)), (m, got[k])
     assert card not in got[len(marked) - 1]["text"]
+
+
+def test_licences_of_both_cuts_count(texts_of):
+    grant = ("Redistribution and use in source and binary forms, with or\nwithout modification, are permitted "
+             "provided that the\nfollowing conditions are met:")
+    texts = [f"Copyright (c) 2015, Foo\nAll rights reserved.\n\n{grant}", f"Copyright (c) 2015, Foo\nAll rights reserved\nFoo\n\n{grant}\n\n1. x",
+             f"{grant}\n\nFoo\nLicensed under CC BY-SA 4.0\nBar", "Licensed under the Apache License, Version 2.0\n(the \"License\");",
+             "All rights reserved\n\n\nAll rights reserved"]
+    got = {r["doc_id"]: (r["licences"], r["family"], r["sentences"]) for r in licenses.scan(texts_of(texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == [
+        ("BSD", "permissive", "<reserved><bsd-redistribute>"), ("BSD", "permissive", "<reserved><bsd-redistribute>"),
+        ("BSD, CC-BY-SA-4.0", "copyleft", "<bsd-redistribute><cc-by-sa>"), ("Apache-2.0", "permissive", "<apache-grant>"),
+        ("all rights reserved", "proprietary", "<reserved><reserved>")]

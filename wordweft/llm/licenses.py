@@ -4,8 +4,9 @@ A text is cut into sentences, a sentence is normalised to lower-case words, and
 mapped to identifiers. The identifiers of a text, in order, are matched against ordered rules: at each place
 the first rule whose sequence is there names a licence, and matching goes on behind it.
 
-A text is cut twice: at line ends and sentence ends, and at sentence and paragraph ends alone, for sentences
-that are wrapped over lines. The cut that finds more known sentences counts, the first one in a tie.
+A text is cut twice: at sentence and paragraph ends, for sentences that are wrapped over lines, and each piece that
+is no known sentence again at its line ends. The known sentences of both cuts count, in order of their place; a
+line within a known wrapped sentence is a part of it and does not count again.
 
 Nulls: a null or empty text has no sentences and no licence (empty strings, 0, family ``none``). Repeated
 sentences stand for themselves. Repeated rows are scanned each. An empty table gives no rows. Extra columns
@@ -73,10 +74,12 @@ def sequence_of(ids) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
-def _identifiers(text: Column, cut: str) -> Column:
+def _identifiers(text: Column) -> Column:
     known = F.create_map(*[F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)])
-    normal = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
-    named = F.transform(F.split(text, cut, -1), lambda s: F.element_at(known, normal(s)))
+    name = lambda x: F.element_at(known, F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " ")))
+    # The line ends include the paragraph ends, so pieces of lines lie within pieces of paragraphs.
+    lines = lambda x: F.transform(F.split(x, LINES, -1), name)
+    named = F.flatten(F.transform(F.split(text, PARAGRAPHS, -1), lambda x: F.when(name(x).isNotNull(), F.array(name(x))).otherwise(lines(x))))
     return F.filter(named, lambda x: x.isNotNull())
 
 
@@ -88,9 +91,7 @@ def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     hinted = F.col("text").rlike(HINT)
     found = (
         doc_text(docs)
-        .withColumn("lines", F.when(hinted, _identifiers(F.col("text"), LINES)).otherwise(none))
-        .withColumn("wrapped", F.when(hinted, _identifiers(F.col("text"), PARAGRAPHS)).otherwise(none))
-        .withColumn("ids", F.when(F.size("wrapped") > F.size("lines"), F.col("wrapped")).otherwise(F.col("lines")))
+        .withColumn("ids", F.when(hinted, _identifiers(F.col("text"))).otherwise(none))
         .select("doc_id", "ids", F.array_join(F.transform("ids", lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "").alias("sentences"))
         .withColumn("matched", F.regexp_extract_all("sentences", F.lit(pattern), F.lit(0)))
     )
