@@ -192,3 +192,12 @@ def test_licences_of_both_cuts_count(texts_of):
         ("BSD", "permissive", "<reserved><bsd-redistribute>"), ("BSD", "permissive", "<reserved><bsd-redistribute>"),
         ("BSD, CC-BY-SA-4.0", "copyleft", "<bsd-redistribute><cc-by-sa>"), ("Apache-2.0", "permissive", "<apache-grant>"),
         ("all rights reserved", "proprietary", "<reserved><reserved>")]
+
+
+def test_hint_sees_sentences_in_any_spacing(texts_of):
+    gaps = ["\n", "\t", "  ", "\u00a0", " -- "]
+    texts = [f"(c) 2020 X. {gap.join(s.split())}" for s in licenses.SENTENCES.values() for gap in gaps]
+    texts += [t.upper() for t in texts]
+    got = {r["doc_id"]: r["sentences"] for r in licenses.scan(texts_of(texts)).collect()}
+    want = [f"<{name}>" for name in licenses.SENTENCES for _ in gaps]
+    assert [got[k] for k in range(len(texts))] == want + want

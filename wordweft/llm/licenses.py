@@ -64,8 +64,9 @@ RULES = [
 ]
 #: Strictest first.
 FAMILIES = ("proprietary", "non-commercial", "copyleft", "permissive")
-#: Each known sentence has one of these words, so other texts need not be cut.
-HINT = r"(?i)licen[sc]e|permission|copies|copyright|warranty|rights reserved|redistribut|you may|public domain|software"
+#: Each known sentence has one of these words, so other texts need not be cut. Single words only: what stands
+#: between the words of a sentence is not known before it is normalised.
+HINT = r"(?i)licen[sc]e|permission|copies|copyright|warranty|reserved|redistribut|software"
 LINES, PARAGRAPHS = r"\n|[.!?]+(?:\s+|$)", r"\n\s*\n|[.!?]+(?:\s+|$)"
 
 
