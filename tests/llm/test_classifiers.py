@@ -131,3 +131,12 @@ def test_chance_words_are_not_toxic():
     sides = [[{f"w{rng.randrange(20_000)}" for _ in range(100)} for _ in range(n)] for n in (400, 3000)]
     assert not toxicity.toxic_words(*sides)
     assert set(toxicity.toxic_words([s | {"vilmog"} if k < 30 else s for k, s in enumerate(sides[0])], sides[1])) == {"vilmog"}
+
+
+def test_held_out_labels_teach_nothing(spark):
+    rows = planted(300)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    a, b = (toxicity.train(docs.drop("toxic"), x) for x in (labels, labels.withColumn("toxic", F.when(held, 1).otherwise(F.col("toxic")))))
+    assert a == b and a.flat is None

@@ -14,7 +14,8 @@ dictionary as well, so that ordinary text costs the same in both. Windows are co
 text that both dictionaries end with, so a short window never falls back to stored bytes.
 
 Bounds: the model is fitted on at most FIT_DOCS documents per class, the first labelled ones in hashed
-order; those of more than FIT_CHARS code points are left out of the fit. Everything else reads whole
+order; those of more than FIT_CHARS code points are left out of the fit. The ordinary dictionary is trained
+on every k-th window of them, FIT_WINDOWS to 2 * FIT_WINDOWS where there are more. Everything else reads whole
 texts of all documents.
 
 Nulls: a null text is empty; an empty text has one empty window with margin 0 and gets the score of that.
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import doc_text, first_hashed, remainder, texts_by_id, with_fresh
 
-FIT_DOCS, FIT_CHARS = 2500, 30_000
+FIT_DOCS, FIT_CHARS, FIT_WINDOWS = 2500, 30_000, 60_000
 WINDOW, STEP = 64, 48
 ORDINARY_BYTES, TOXIC_BYTES, CARRIER = 32_768, 1024, 64
 #: A toxic sample word: recurs in this many documents, this much likelier than in ordinary ones. No more than a
@@ -158,7 +159,7 @@ def fit(toxic: list[str], ordinary: list[str], share: float | None = None) -> Mo
     chosen = toxic_words(*words)
     tails = {w.encode(): f"{w}{zlib.crc32(w.encode()):08x}".encode() for w in chosen if len(w.encode()) + 2 < MIN_MATCH}
     cuts = [w for d in sides[1] for w in windows(d)]
-    base = _trained(cuts[::max(1, len(cuts) // 60_000)], ORDINARY_BYTES, 48, 6)
+    base = _trained(cuts[::max(1, len(cuts) // FIT_WINDOWS)], ORDINARY_BYTES, 48, 6)
     samples = [(" " + " ".join(w for w in d.decode().split() if w in chosen) + " ").encode() for d in sides[0]]
     samples = [spelled(s, tails) for s in samples if len(s) > 2]
     samples = [s for s in samples if len(s) > 8]
@@ -176,8 +177,8 @@ def fit(toxic: list[str], ordinary: list[str], share: float | None = None) -> Mo
 def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, fit_docs: int = FIT_DOCS) -> Model:
     """Fit on labelled documents whose crc32(doc_id as text) mod 3 is not ``held_out``."""
     known = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    share = known.agg(F.avg("toxic")).first()[0]
     learned = known.where(remainder(F.col("doc_id"), 3) != held_out)
+    share = learned.agg(F.avg("toxic")).first()[0]
     ids = [first_hashed(learned.where(F.col("toxic") == kind), fit_docs) for kind in (1, 0)]
     texts = texts_by_id(docs, ids[0] + ids[1], FIT_CHARS)
     sides = [[texts[i] for i in side if i in texts] for side in ids]
