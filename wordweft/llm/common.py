@@ -59,3 +59,19 @@ def with_fresh(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def tasks_for(df: DataFrame, task_bytes: int = 32 << 20) -> int:
+    """Tasks for one shuffle of a table: by the plan's estimate of its stored bytes, and at least as many as the
+    session asks for. A plan without an estimate (checkpointed rows) counts as the session asks."""
+    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    asked = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(asked, -(-stored // task_bytes)) if stored < 1 << 60 else asked
+
+
+def shared_file_system(uri: str):
+    """(file system, path) of a place in the shared folder, for tasks that write or read files of their own format."""
+    from pyarrow import fs
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    return fs.FileSystem.from_uri(uri)

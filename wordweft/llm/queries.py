@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, exact_dedup, language, licenses, mixing, ngram_join, packing, pii, spotsigs, toxicity
+from . import (alignment, centroids, chat, exact_dedup, language, licenses, mixing, ngram_join, packing, pii, spotsigs, token_files,
+               toxicity)
 from .common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +142,50 @@ def op8_spot_signatures(spark, sf_dir):
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def _sql_rounds() -> str:
+    """The rounds of the clustering, one table of distances and one of centroids each."""
+    steps = []
+    for k in range(centroids.ROUNDS + 1):
+        steps.append(f"""
+d{k} AS MATERIALIZED (SELECT v.row, c.cluster, sum((v.x - c.x) * (v.x - c.x))::bigint AS distance
+  FROM v JOIN c{k} c ON v.dim = c.dim GROUP BY v.row, c.cluster),
+a{k} AS MATERIALIZED (SELECT row, cluster, distance FROM d{k}
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1)""")
+        if k < centroids.ROUNDS:
+            steps.append(f"""
+m{k} AS (SELECT a.cluster, v.dim, floor_div(sum(v.x)::bigint, count(*)) AS x FROM a{k} a JOIN v USING (row) GROUP BY a.cluster, v.dim),
+c{k + 1} AS MATERIALIZED (SELECT c.cluster, c.dim, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN m{k} m ON c.cluster = m.cluster AND c.dim = m.dim)""")
+    # Whole division rounds towards zero; the contract's floor does not.
+    return ",".join(steps).replace("floor_div(sum(v.x)::bigint, count(*))",
+                                   "(sum(v.x)::bigint - ((sum(v.x)::bigint % count(*)) + count(*)) % count(*)) // count(*)")
+
+
+@query(f"""
+WITH e AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({centroids.SCALE} * x::double)) AS xs FROM embeddings
+  WHERE len(embedding) = {centroids.COMPONENTS}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.COMPONENTS}),
+v AS MATERIALIZED (SELECT row, generate_subscripts(xs, 1) AS dim, unnest(xs)::bigint AS x FROM e),
+s AS (SELECT row, row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id::varchar)) - 1 AS cluster FROM e
+  QUALIFY cluster < {centroids.CENTROIDS}),
+c0 AS MATERIALIZED (SELECT s.cluster, v.dim, v.x FROM s JOIN v USING (row)),{_sql_rounds()},
+h AS (SELECT cluster, sha256(string_agg(x::varchar, ',' ORDER BY dim)) AS centroid_sha256 FROM c{centroids.ROUNDS} GROUP BY cluster)
+SELECT e.vec_id, a.cluster::int AS cluster, a.distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::bigint AS cluster_inertia,
+  (sum(a.distance) OVER ())::bigint AS inertia, h.centroid_sha256
+FROM a{centroids.ROUNDS} a JOIN e USING (row) JOIN h USING (cluster)""")
+def op11_centroid_clusters(spark, sf_dir):
+    return centroids.report(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+@query()
+def op12_tokenizer_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_token_files(spark, sf_dir):
+    return token_files.read(token_files.write(table(spark, sf_dir, "documents")))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
