@@ -1,18 +1,19 @@
 import collections
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from wordweft.operators import bpe, lm, tuning
+from wordweft.operators import bpe, lm, merges, tuning
 from wordweft.operators.ordinal import with_ordinal
 from wordweft.plans.config import FastTextSettings, RunSettings, Word2VecSettings
 
 
-def one_at_a_time(words, merges):
+def one_at_a_time(words, many):
     """Plain reference: most frequent pair first, ties by text."""
     table, out = {tuple(w): n for w, n in words.items()}, []
-    while len(out) < merges:
+    while len(out) < many:
         count = collections.Counter()
         for parts, n in table.items():
             for pair in zip(parts, parts[1:]):
@@ -34,13 +35,91 @@ def one_at_a_time(words, merges):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_batched_merges_equal_single_merges(spark, seed):
+@pytest.mark.parametrize("seed,active,symbols", [(1, 8192, 2_000_000), (2, 6, 2_000_000), (3, 3, 2_000_000), (4, 8192, 60), (5, 40, 1)])
+def test_merges_equal_single_merges(spark, seed, active, symbols):
     rng = random.Random(seed)
     words = {"".join(rng.choice("abcd$.") for _ in range(rng.randint(1, 7))): rng.randint(1, 30) for _ in range(40)}
-    words |= {"aaa": 9, "aaaaa": 4}
+    words |= {"aaa": 9, "aaaaa": 4, "abab" * 5: 3, "": 5}
     counts = spark.createDataFrame(list(words.items()), "pretoken string, n bigint")
-    assert bpe.train_bpe(counts, 261 + 25, cut_every=3) == one_at_a_time(words, 25)
+    many = 25 if symbols > 1000 and active > 10 else 9
+    assert bpe.train_bpe(counts, 261 + many, active=active, segment_symbols=symbols) == one_at_a_time(words, many)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_rounds_of_the_index_equal_single_merges(seed):
+    """Rounds of many sizes on small alphabets, where ties, repeats and strings that arise twice are common."""
+    rng = random.Random(seed)
+    words = {"".join(rng.choice("ab" if seed % 2 else "abc") for _ in range(rng.randint(1, 12))): rng.randint(1, 6) for _ in range(30)}
+    want = one_at_a_time(words, 40)
+    spelled, parts, got = list("abc"), {w: ["abc".index(c) for c in w] for w in words}, []
+    known = {c: k for k, c in enumerate(spelled)}
+    while len(got) < 40:
+        count = collections.Counter()
+        for w, p in parts.items():
+            for pair in zip(p, p[1:]):
+                count[pair] += words[w]
+        ranked = sorted((p for p in count if count[p] >= 3), key=lambda p: (-count[p], spelled[p[0]], spelled[p[1]]))
+        if not ranked:
+            break
+        size = rng.randint(2, 9)
+        taken = ranked[:size]
+        boundary = None if len(ranked) < size else (-count[taken[-1]], *(spelled[k] for k in taken[-1]))
+        segments = collections.Counter()
+        for w, p in parts.items():
+            hit = [pair in taken for pair in zip(p, p[1:])]
+            i = 0
+            while i < len(hit):
+                if hit[i]:
+                    j = i
+                    while j < len(hit) and hit[j]:
+                        j += 1
+                    segments[((i > 0) + 2 * (j + 1 < len(p)), *p[max(i - 1, 0):j + 2])] += words[w]
+                    i = j
+                i += 1
+        index = merges.PairIndex([(list(s), n) for s, n in segments.items()], set(taken), spelled, known)
+        learned = list(index.learn(40 - len(got), 3, boundary))
+        assert learned
+        got += [(spelled[a], spelled[b]) for a, b, _ in learned]
+        ranks = merges.ranks_of([m[:2] for m in learned])
+        parts = {w: merges.merge_symbols(p, ranks, [m[2] for m in learned], True) for w, p in parts.items()}
+    assert got == want
+
+
+def slow_merge(parts, pairs):
+    rank = {p: k for k, p in reversed(list(enumerate(pairs)))}
+    while len(parts) > 1:
+        best = min(zip(parts, parts[1:]), key=lambda p: rank.get(p, len(rank)))
+        if best not in rank:
+            return parts
+        out, i = [], 0
+        while i < len(parts):
+            step = 2 if tuple(parts[i:i + 2]) == best else 1
+            out.append("".join(parts[i:i + step]))
+            i += step
+        parts = out
+    return parts
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_heap_equals_passes(seed):
+    rng = random.Random(seed)
+    words = {"".join(rng.choice("abcd") for _ in range(rng.randint(1, 9))): rng.randint(3, 30) for _ in range(30)}
+    pairs = one_at_a_time(words, 60)
+    ranks, merged = merges.ranks_of(pairs), [a + b for a, b in pairs]
+    for _ in range(200):
+        word = [rng.choice("abcd") for _ in range(rng.randint(0, 40))]
+        assert merges.merge_symbols(word, ranks, merged) == slow_merge(word, pairs)
+
+
+def test_a_long_unbroken_run_is_encoded_fast():
+    rng = random.Random(4)
+    words = {"".join(rng.choice("abcdefgh") for _ in range(9)): rng.randint(3, 9) for _ in range(800)}
+    pairs = one_at_a_time(words, 300)
+    run = [rng.choice("abcdefgh") for _ in range(200_000)]
+    start = time.process_time()
+    parts = merges.merge_symbols(run, merges.ranks_of(pairs), [a + b for a, b in pairs])
+    assert time.process_time() - start < 30
+    assert "".join(parts) == "".join(run) and len(parts) < 0.6 * len(run)
 
 
 def test_pretokens_and_symbols(spark):
@@ -54,12 +133,12 @@ def test_pretokens_and_symbols(spark):
 def test_encoding_keeps_the_text(spark, kept_of):
     text = ["low lower lowest newer", "newest día 😀"]
     kept = kept_of({"aa": {1: text}})
-    merges = bpe.train_bpe(bpe.pretoken_counts(kept.union(kept).union(kept)), 261 + 10)
-    vocab_table, ranks = bpe.bpe_tables(spark, merges)
+    found = bpe.train_bpe(bpe.pretoken_counts(kept.union(kept).union(kept)), 261 + 10)
+    vocab_table, ranks = bpe.bpe_tables(spark, found)
     token = {r["id"]: r["token"] for r in vocab_table.collect()}
-    assert [token[k] for k in range(5)] == bpe.SPECIALS and ranks.count() == len(merges) > 0
+    assert [token[k] for k in range(5)] == bpe.SPECIALS and ranks.count() == len(found) > 0
     byte = {s: b for b, s in enumerate(bpe.byte_alphabet())}
-    for r in bpe.encode_text(kept, merges).collect():
+    for r in bpe.encode_text(kept, found).collect():
         assert bytes(byte[c] for i in r["ids"] for c in token[i]).decode() == text[r["seq"]]
         assert len(r["ids"]) < len(text[r["seq"]].encode())
 

@@ -707,6 +707,11 @@ pre AS (SELECT unnest(regexp_extract_all(line,
 pre_counts AS (SELECT pretoken, count(*) AS n FROM pre GROUP BY ALL)"""
 
 
+_BYTE_CODE = """code AS (SELECT byte, CASE WHEN byte BETWEEN 33 AND 126 OR byte BETWEEN 161 AND 172 OR byte BETWEEN 174 AND 255 THEN chr(byte::int)
+  ELSE chr((255 + count(*) FILTER (WHERE NOT (byte BETWEEN 33 AND 126 OR byte BETWEEN 161 AND 172 OR byte BETWEEN 174 AND 255))
+    OVER (ORDER BY byte))::int) END AS ch FROM range(0, 256) b(byte))"""
+
+
 @query(f"WITH {_PRETOKENS} SELECT pretoken, n FROM pre_counts")
 def bpe_pretokens(spark, sf_dir):
     return bpe.pretoken_counts(kept_lines(spark, sf_dir))
@@ -715,9 +720,7 @@ def bpe_pretokens(spark, sf_dir):
 @query(f"""WITH {_PRETOKENS}, bytes AS (SELECT n, hex(encode(pretoken)) AS h FROM pre_counts),
 p AS (SELECT n, substr(h, 2 * k + 1, 2) AS l, substr(h, 2 * k + 3, 2) AS r FROM (
   SELECT n, h, unnest(range(0, length(h) // 2 - 1)) AS k FROM bytes)),
-code AS (SELECT byte, CASE WHEN byte BETWEEN 33 AND 126 OR byte BETWEEN 161 AND 172 OR byte BETWEEN 174 AND 255 THEN chr(byte::int)
-  ELSE chr((255 + count(*) FILTER (WHERE NOT (byte BETWEEN 33 AND 126 OR byte BETWEEN 161 AND 172 OR byte BETWEEN 174 AND 255))
-    OVER (ORDER BY byte))::int) END AS ch FROM range(0, 256) b(byte))
+{_BYTE_CODE}
 SELECT a.ch AS "left", b.ch AS "right", sum(n)::bigint AS n FROM p JOIN code a ON ('0x' || l)::int = a.byte
 JOIN code b ON ('0x' || r)::int = b.byte GROUP BY ALL""")
 def bpe_pair_counts(spark, sf_dir):
@@ -731,7 +734,25 @@ def document_merges(spark, sf_dir) -> list[tuple[str, str]]:
     return bpe.train_bpe(bpe.pretoken_counts(kept_lines(spark, sf_dir)), _BPE_VOCAB)
 
 
-@query()
+def _sql_merges(count: int) -> str:
+    """One merge after another: count the pairs, take the best, replace it in all words.
+
+    A symbol stands between spaces of its own, so a plain replacement runs left to right without overlap.
+    """
+    steps = [f"""
+pairs{k} AS (SELECT l, r, sum(n) AS n FROM (SELECT n, unnest(a[:-2]) AS l, unnest(a[2:]) AS r FROM (
+    SELECT n, string_split(trim(s), '  ') AS a FROM words{k})) GROUP BY l, r HAVING sum(n) >= {bpe.MIN_FREQUENCY}),
+best{k} AS MATERIALIZED (SELECT l, r FROM pairs{k} ORDER BY n DESC, l, r LIMIT 1),
+words{k + 1} AS MATERIALIZED (SELECT n, coalesce(replace(s, ' ' || l || '  ' || r || ' ', ' ' || l || r || ' '), s) AS s
+  FROM words{k} LEFT JOIN best{k} ON true)""" for k in range(count)]
+    return ",".join(steps)
+
+
+@query(f"""WITH {_PRETOKENS}, {_BYTE_CODE},
+words0 AS MATERIALIZED (SELECT n, array_to_string(list_transform(range(0, length(h) // 2),
+    lambda k: ' ' || chars[('0x' || substr(h, 2 * k + 1, 2))::int + 1] || ' '), '') AS s
+  FROM (SELECT n, hex(encode(pretoken)) AS h FROM pre_counts), (SELECT list(ch ORDER BY byte) AS chars FROM code)),{_sql_merges(_BPE_VOCAB - 261)}
+{" UNION ALL ".join(f'SELECT {k}::bigint AS rank, l AS "left", r AS "right" FROM best{k}' for k in range(_BPE_VOCAB - 261))}""")
 def bpe_merges(spark, sf_dir):
     return bpe.bpe_tables(spark, document_merges(spark, sf_dir))[1]
 

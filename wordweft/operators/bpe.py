@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ..sources.session import cut
+from .merges import learn_merges, merge_symbols, ranks_of
 
 # The published pre-token pattern, and the special tokens in id order.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPECIALS = ["<s>", "<pad>", "</s>", "<unk>", "<mask>"]
 MIN_FREQUENCY = 3
-TOP_PAIRS = 512
+# Longest word that an encoding task remembers.
+MEMO_CHARS = 64
 
 
 def byte_alphabet() -> list[str]:
@@ -66,75 +67,12 @@ def pair_counts(table: DataFrame) -> DataFrame:
     return pairs.groupBy("p.left", "p.right").agg(F.sum("n").alias("n"))
 
 
-def _quote(symbol: str) -> str:
-    return "".join("\\" + c if not c.isalnum() and ord(c) < 128 else c for c in symbol)
+def train_bpe(counts: DataFrame, vocab_size: int, min_frequency: int = MIN_FREQUENCY, **limits) -> list[tuple[str, str]]:
+    """Merges in rank order, until ``vocab_size`` or until no pair is frequent enough. Pairs rank by (count, left, right).
 
-
-def merge_pairs(symbols: Column, pairs: list[tuple[str, str]]) -> Column:
-    """Join each pair, left to right. Several pairs at once must not share a symbol."""
-    if len(pairs) == 1 and pairs[0][0] == pairs[0][1]:
-        a = _quote(pairs[0][0])
-        return F.regexp_replace(symbols, rf"(?<![^ ]){a} {a}(?![^ ])", pairs[0][0].replace("\\", r"\\").replace("$", r"\$") * 2)
-    gaps = "|".join(rf"(?<=(?:^| ){_quote(a)}) (?={_quote(b)}(?: |$))" for a, b in pairs)
-    return F.regexp_replace(symbols, gaps, "")
-
-
-def safe_batch(ranked: list[tuple[str, str, int]], complete: bool, known: set[str]) -> list[tuple[str, str]]:
-    """The longest start of the ranked pairs that can be merged in one pass.
-
-    The batch stops at the first pair that shares a symbol with an earlier one or repeats its own
-    symbol, and keeps only pairs that are strictly more frequent than that pair: merging can lower
-    counts and can create pairs no more frequent than the ones they replace. A merged string that is
-    already a symbol, or arises twice, also forces one merge at a time.
+    ``limits``: see ``learn_merges``.
     """
-    first = ranked[0][:2]
-    if first[0] == first[1]:
-        return [first]
-    used: set[str] = set()
-    batch, floor = [], None
-    for left, right, n in ranked:
-        if left in used or right in used or left == right:
-            floor = n
-            break
-        used |= {left, right}
-        batch.append((left, right, n))
-    if floor is None and not complete:
-        floor = ranked[-1][2]
-    taken = [(a, b) for a, b, n in batch if floor is None or n > floor]
-    merged = [a + b for a, b in taken]
-    if not taken or len(set(merged)) < len(merged) or known & set(merged):
-        return [first]
-    return taken
-
-
-def train_bpe(counts: DataFrame, vocab_size: int, min_frequency: int = MIN_FREQUENCY,
-              cut_every: int = 8) -> list[tuple[str, str]]:
-    """Merges in rank order, until ``vocab_size`` or until no pair is frequent enough.
-
-    Pairs rank by (count, left, right). The table of distinct words stays distributed; the driver sees
-    at most 512 ranked pairs per round, and the merge list, which ``vocab_size`` bounds.
-    """
-    merges: list[tuple[str, str]] = []
-    room = vocab_size - len(SPECIALS) - 256
-    known = set(byte_alphabet())
-    table = cut(symbol_table(counts))
-    rounds = 0
-    while len(merges) < room:
-        top = (
-            pair_counts(table).where(F.col("n") >= min_frequency)
-            .orderBy(F.desc("n"), "left", "right").limit(TOP_PAIRS).collect()
-        )
-        if not top:
-            break
-        ranked = [(r["left"], r["right"], r["n"]) for r in top]
-        batch = safe_batch(ranked, len(top) < TOP_PAIRS, known)[: room - len(merges)]
-        merges += batch
-        known |= {a + b for a, b in batch}
-        table = table.withColumn("symbols", merge_pairs(F.col("symbols"), batch))
-        rounds += 1
-        if rounds % cut_every == 0:
-            table = cut(table)
-    return merges
+    return learn_merges(counts, vocab_size - len(SPECIALS) - 256, min_frequency, byte_alphabet(), **limits)
 
 
 def bpe_tables(spark: SparkSession, merges: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
@@ -153,29 +91,19 @@ def encoder(merges: list[tuple[str, str]]):
     The merge list is bounded by the vocabulary size. Lines are encoded where they are: the distinct pieces of a
     batch are merged once (a bounded memo spans batches), so no token is shuffled to a word table and back.
     """
-    rank = {pair: i for i, pair in enumerate(merges)}
-    tokens = SPECIALS + sorted(byte_alphabet()) + [a + b for a, b in merges]
+    ranks, merged = ranks_of(merges), [a + b for a, b in merges]
+    tokens = SPECIALS + sorted(byte_alphabet()) + merged
     ids = {t: i for i, t in enumerate(dict.fromkeys(tokens))}
 
     @pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        @lru_cache(maxsize=1 << 16)
+        def spell(word: str) -> tuple[int, ...]:
+            return tuple([ids[p] for p in merge_symbols(list(word), ranks, merged)])
+
+        short = lru_cache(maxsize=1 << 16)(spell)
+
         def word_ids(word: str) -> tuple[int, ...]:
-            parts = list(word)
-            while len(parts) > 1:
-                best = min(zip(parts, parts[1:]), key=lambda p: rank.get(p, len(rank)))
-                if best not in rank:
-                    break
-                joined, at = [], 0
-                while at < len(parts):
-                    if at + 1 < len(parts) and (parts[at], parts[at + 1]) == best:
-                        joined.append(parts[at] + parts[at + 1])
-                        at += 2
-                    else:
-                        joined.append(parts[at])
-                        at += 1
-                parts = joined
-            return tuple(ids[p] for p in parts)
+            return short(word) if len(word) <= MEMO_CHARS else spell(word)
 
         for batch in batches:
             lengths = batch.map(len).to_numpy()

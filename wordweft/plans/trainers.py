@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_uniform
 from ..operators import lookup, pairs, shape, subword, vocab
 from ..sources.session import cut
-from .cells import fit_pairs, noise_pairs, path_codes, tree_pairs
+from .cells import fit_pairs, noise_pairs
 from .config import FastTextSettings, GloveSettings, Word2VecSettings
 from .sentences import Objective, fit_sentences
+from .tree import fit_tree
 
 # Feature ids of n-gram buckets start here, behind all word ids.
 BUCKET_BASE = 1 << 40
@@ -106,9 +107,12 @@ def train_word2vec(kept: DataFrame, settings: Word2VecSettings, chunk_tokens: in
                                        settings.alpha, settings.min_alpha, seed, chunk_tokens)
         return Model(_named(_inputs(params), words, name), losses, params)
     counts = pairs.skipgram_pairs(sentences, settings.window, seed=seed)
-    counted = noise_pairs(counts, shares, negative, seed) if negative else tree_pairs(counts, path_codes(tree))
-    params, losses = fit_pairs(counted, words, settings.vector_size, settings.epochs, settings.alpha, settings.min_alpha,
-                               "logistic", seed, passes=settings.local_passes)
+    if negative:
+        params, losses = fit_pairs(noise_pairs(counts, shares, negative, seed), words, settings.vector_size, settings.epochs, settings.alpha,
+                                   settings.min_alpha, "logistic", seed, passes=settings.local_passes)
+    else:
+        params, losses = fit_tree(counts, words, tree, settings.vector_size, settings.epochs, settings.alpha, settings.min_alpha, seed,
+                                  passes=settings.local_passes)
     return Model(_named(_inputs(params), words, name), losses, params)
 
 
