@@ -137,3 +137,28 @@ def test_chars_as_ids(spark):
     known = vocab.char_dictionary(vocab.char_counts(lines.where("lang = 'aa' and seq = 1")))
     got = {(r["lang"], r["seq"]): r["ids"] for r in lookup.encode_chars(lines, known).collect()}
     assert got == {("aa", 0): [0, 0, 2, 1], ("aa", 1): [2, 1], ("cc", 0): [0, 0]}
+
+
+def test_store_joins_move_no_vector(spark):
+    """Vectors are dealt out once, when the store is written: their later joins have no exchange over a vector."""
+    from wordweft.sources.vectors import VectorStore
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vectors = spark.createDataFrame([(f"w{k}", [float(k)]) for k in range(300)], "word string, vector array<float>")
+        store = VectorStore.of(vectors)
+        probes = spark.createDataFrame([(w,) for w in ["w1", "W2", "w77", "none", *["w5"] * 50]], "word string")
+        found = lookup.embed_words(probes, store, 1)
+        assert {r["word"]: (r["step"], r["vector"]) for r in found.collect()} == {
+            "w1": (0, [1.0]), "W2": (1, [2.0]), "w77": (0, [77.0]), "none": (-1, [0.0]), "w5": (0, [5.0])}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        plan = plan[plan.index("== Initial Plan =="):] if "== Initial Plan ==" in plan else plan
+        assert "Bucketed: true" in found._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        for line in plan.splitlines():
+            if "Exchange hashpartitioning" in line:
+                below = plan.splitlines()[plan.splitlines().index(line) + 1]
+                assert "_tail" not in below, (line, below)
+        assert VectorStore.of(store) is store
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

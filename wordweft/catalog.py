@@ -856,9 +856,9 @@ def glove_train(spark, sf_dir):
     return _vectors(trainers.train_glove(kept_lines(spark, sf_dir), settings))
 
 
-def _fasttext(model: str) -> FastTextSettings:
+def _fasttext(model: str, loss: str = "ns") -> FastTextSettings:
     return FastTextSettings(model=model, dim=_TRAIN_DIM, epoch=2, minCount=MIN_COUNT, minn=3, maxn=5, bucket=_BUCKETS,
-                            neg=3, t=0.001, seed=SEED)
+                            neg=3, t=0.001, seed=SEED, loss=loss)
 
 
 @query(_sql_vectors("fastText-skipgram"))
@@ -871,6 +871,12 @@ def fasttext_cbow(spark, sf_dir):
     return _vectors(trainers.train_fasttext(kept_lines(spark, sf_dir), _fasttext("cbow"), chunk_tokens=60_000))
 
 
+@query(_sql_vectors("fastText-skipgram"))
+def fasttext_softmax(spark, sf_dir):
+    """Skip-gram with the softmax over all words."""
+    return _vectors(trainers.train_fasttext(kept_lines(spark, sf_dir), _fasttext("skipgram", "softmax")))
+
+
 _BUCKETS = 50_000
 
 
@@ -908,11 +914,11 @@ def curve_w2v(spark, sf_dir):
 
 
 @query(f"""WITH {_TOKENS}, placed AS (SELECT lang AS tag, {_sql_u(SEED, 'file', 'seq')} < 0.1 AS dev FROM tokens)
-SELECT count(*) FILTER (NOT dev) AS n_train, count(*) FILTER (dev) AS n_test, true AS above_majority FROM placed""")
+SELECT count(*) FILTER (NOT dev) AS n_train, count(*) FILTER (dev) AS n_test, true AS is_accurate FROM placed""")
 def downstream_score(spark, sf_dir):
     """Tag each token with its language from the given vectors; a hash tenth of the sentences is the test.
 
-    The accuracy must beat the share of the most frequent tag in the test.
+    A line is of one language, so a tagger that learns from its neighbours gets nearly all of them.
     """
     lines = kept_lines(spark, sf_dir)
     tokens = shape.tokens_of(lines)
@@ -920,9 +926,7 @@ def downstream_score(spark, sf_dir):
     tagged = tokens.select(F.when(dev, "test").otherwise("train").alias("split"), "file", F.col("seq").alias("sent_id"),
                            "pos", F.col("word").alias("token"), F.col("lang").alias("tag"))
     found = scoring.downstream_score(tagged, word_vectors(spark, sf_dir), DIM, max_iter=5)
-    shares = tagged.where("split = 'test'").groupBy("tag").agg(F.count("*").alias("n"))
-    majority = shares.agg((F.max("n") / F.sum("n")).alias("majority"))
-    return found.join(majority).select("n_train", "n_test", (F.col("accuracy") > F.col("majority")).alias("above_majority"))
+    return found.select("n_train", "n_test", (F.col("accuracy") > 0.97).alias("is_accurate"))
 
 
 SPACE = {

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..functions import text as tx
+from ..sources.session import cut
+from ..sources.vectors import VectorStore
 from .shape import tokens_of
 
 HOT_ROWS = 1024
@@ -145,58 +147,66 @@ def fallback_keys(word: Column, steps: int = 4) -> Column:
     return F.array(*[F.struct(F.lit(i).cast("bigint").alias("step"), k.alias("key")) for i, k in enumerate(keys)])
 
 
-def embed_words(words: DataFrame, vectors: DataFrame, dim: int, steps: int = 4, default: float = 0.0,
-                key: str = "word") -> DataFrame:
-    """Distinct ``key`` values -> (key, matched, step, vector), first hit of the fallback order.
+def resolve_words(words: DataFrame, store: VectorStore, steps: int = 4, key: str = "word") -> DataFrame:
+    """Distinct ``key`` values -> (key, matched, step): the first form of the fallback order that has a vector.
 
-    No hit gives step -1 and a constant vector. Many words may share a form (all numbers of ten digits do),
-    so forms are weighed by their words and joined as ``lookup_join`` does. The step is resolved without
-    vectors; a vector meets only the words that end up with it.
+    No hit gives a null and step -1. Many words may share a form (all numbers of ten digits do), so forms are weighed
+    by their words. Vectors are not read.
     """
-    probes = words.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    lang = F.lit("").alias("lang")
+    probes = words.select(F.col(key).alias("_of")).where(F.col(key).isNotNull()).distinct()
     forms = (
-        probes.select(key, F.explode(fallback_keys(F.col(key), steps)).alias("f"))
-        .groupBy(key, F.col("f.key").alias("word_form")).agg(F.min("f.step").alias("step"))
-        .select(F.col(key).alias("_key_of"), F.col("word_form").alias("word"), "step", lang)
+        probes.select("_of", F.explode(fallback_keys(F.col("_of"), steps)).alias("f"))
+        .groupBy("_of", F.col("f.key").alias("form")).agg(F.min("f.step").alias("step"))
     )
-    known = vectors.select("word").distinct()
-    weighed = forms.groupBy("word").agg(F.count("*").alias("n")).join(known, "word").select(lang, "word", "n")
-    hits = (
-        lookup_join(forms, weighed, "n", [F.col("_key_of")], "inner")
-        .groupBy("_key_of").agg(F.min(F.struct("step", "word")).alias("h"))
-        .select("_key_of", F.col("h.word").alias("word"), "h.step", lang)
-    )
-    table = vectors.select("word", "vector").join(hits.groupBy("word").agg(F.count("*").alias("n")), "word")
-    found = lookup_join(hits, table.select(lang, "word", "n", "vector"), "n", [F.col("_key_of")], "inner")
+    weights = forms.groupBy(F.col("form").alias("word")).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    hits = store.join(forms, "form", weights, [F.col("_of")], ["word"])
+    first = F.min(F.when(F.col("word").isNotNull(), F.struct("step", "word")))
+    return hits.groupBy("_of").agg(first.alias("h")).select(
+        F.col("_of").alias(key), F.col("h.word").alias("matched"), F.coalesce("h.step", F.lit(-1).cast("bigint")).alias("step"))
+
+
+def _with_vectors(rows: DataFrame, store: VectorStore, weights: DataFrame, spread: list[Column], dim: int, default: float) -> DataFrame:
     blank = F.array_repeat(F.lit(float(default)).cast("float"), dim)
-    found = found.select(F.col("_key_of").alias(key), F.col("word").alias("matched"), "step", "vector")
-    return probes.join(found, key, "left").select(
-        key, "matched", F.coalesce("step", F.lit(-1).cast("bigint")).alias("step"), F.coalesce("vector", blank).alias("vector"))
+    return store.join(rows, "matched", weights, spread, ["vector"]).withColumn("vector", F.coalesce("vector", blank))
 
 
-def embed_tokens(tokens: DataFrame, vectors: DataFrame, dim: int, steps: int = 4, default: float = 0.0,
+def embed_words(words: DataFrame, vectors: DataFrame | VectorStore, dim: int, steps: int = 4, default: float = 0.0,
+                key: str = "word") -> DataFrame:
+    """Distinct ``key`` values -> (key, matched, step, vector), first hit of the fallback order.
+
+    No hit gives step -1 and a constant vector. Words are resolved without vectors; a vector meets only the words that
+    end up with it, in its bucket.
+    """
+    store = VectorStore.of(vectors)
+    found = resolve_words(words, store, steps, key)
+    weights = found.groupBy(F.col("matched").alias("word")).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    return _with_vectors(found, store, weights, [F.col(key)], dim, default).select(key, "matched", "step", "vector")
+
+
+def embed_tokens(tokens: DataFrame, vectors: DataFrame | VectorStore, dim: int, steps: int = 4, default: float = 0.0,
                  key: str = "word") -> DataFrame:
     """Every token with its step and vector; ``key`` may name another field than the text.
 
-    The distinct words are resolved once. The join back treats frequent words as ``lookup_join`` does.
+    The distinct words are resolved once. Tokens are joined with the resolved words, then with the vectors, and
+    frequent words are dealt out both times.
     """
-    counts = tokens.groupBy(F.col(key).alias("word")).agg(F.count("*").alias("n"))
-    resolved = embed_words(counts, vectors, dim, steps, default).join(counts, "word")
-    table = resolved.select(F.lit("").alias("lang"), "word", "n", "matched", "step", "vector")
+    store = VectorStore.of(vectors)
     keep = tokens.columns
+    counts = tokens.groupBy(F.col(key).alias("word")).agg(F.count("*").alias("n"))
+    resolved = cut(resolve_words(counts, store, steps).join(counts, "word"))
     rows = tokens.select(*[F.col(c).alias(f"_c_{c}") for c in keep], F.lit("").alias("lang"), F.col(key).alias("word"))
     spread = [F.col(f"_c_{c}") for c in TOKEN_KEYS if c in keep]
-    found = lookup_join(rows, table, "n", spread, "left")
+    named = lookup_join(rows, resolved.select(F.lit("").alias("lang"), "word", "n", "matched", "step"), "n", spread, "left")
+    weights = resolved.groupBy(F.col("matched").alias("word")).agg(F.sum("n").alias("n"))
+    found = _with_vectors(named.select(*[f"_c_{c}" for c in keep], "matched", "step"), store, weights, spread, dim, default)
     return found.select(*[F.col(f"_c_{c}").alias(c) for c in keep], "matched", "step", "vector")
 
 
-def lookup_coverage(tokens: DataFrame, vectors: DataFrame, steps: int = 4) -> DataFrame:
+def lookup_coverage(tokens: DataFrame, vectors: DataFrame | VectorStore, steps: int = 4) -> DataFrame:
     """Tokens per language that each lookup step resolves (-1: none).
 
     Counted per distinct word first; vectors themselves are not read.
     """
     counts = tokens.groupBy("lang", "word").agg(F.count("*").alias("n"))
-    marked = vectors.select("word", F.array().cast("array<float>").alias("vector"))
-    found = embed_words(counts, marked, 0, steps).select("word", "step")
+    found = resolve_words(counts, VectorStore.of(vectors), steps).select("word", "step")
     return counts.join(found, "word").groupBy("lang", "step").agg(F.sum("n").alias("n"))

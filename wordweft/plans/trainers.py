@@ -13,6 +13,7 @@ from ..sources.session import cut
 from .cells import fit_pairs, noise_pairs
 from .config import FastTextSettings, GloveSettings, Word2VecSettings
 from .sentences import Objective, fit_sentences
+from .softmax import fit_softmax
 from .tree import fit_tree
 
 # Feature ids of n-gram buckets start here, behind all word ids.
@@ -123,16 +124,29 @@ def word_units(words: DataFrame, settings: FastTextSettings) -> DataFrame:
     return words.select("lang", "id", F.concat(F.array("id"), rows).alias("ids"))
 
 
+def _predictions(sentences: DataFrame, words: DataFrame, settings: FastTextSettings, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(lang, pred, ids) and (lang, pred, target, n): a centre word with its counted contexts, or a bag with its word."""
+    if settings.model == "skipgram":
+        counts = pairs.skipgram_pairs(sentences, settings.ws, seed=seed)
+        return words.select("lang", F.col("id").alias("pred"), F.array("id").alias("ids")), counts.select(
+            "lang", F.col("w").alias("pred"), F.col("c").alias("target"), "n")
+    rows = cut(pairs.cbow_rows(sentences, settings.ws, True, seed).withColumn("pred", F.monotonically_increasing_id()))
+    return rows.select("lang", "pred", F.col("bag").alias("ids")), rows.select("lang", "pred", "target", F.lit(1).cast("bigint").alias("n"))
+
+
 def train_fasttext(kept: DataFrame, settings: FastTextSettings, chunk_tokens: int = 1_000_000) -> Model:
     seed = settings.seed or 1
     words, sentences = _prepared(kept, settings.minCount, None, settings.t, seed)
     if words.isEmpty():
         return _nothing(kept)
     units = word_units(words, settings) if settings.maxn else words.select("lang", "id", F.array("id").alias("ids"))
-    objective = Objective(settings.model == "cbow", settings.ws, settings.neg if settings.loss == "ns" else 0, True, False)
-    params, losses = fit_sentences(
-        sentences, units, vocab.noise_distribution(words, 0.5), vocab.noise_distribution(words, 1.0), objective,
-        settings.dim, settings.epoch, settings.lr, 0.0, seed, chunk_tokens)
+    if settings.loss == "softmax":
+        params, losses = fit_softmax(*_predictions(sentences, words, settings, seed), units, settings.dim, settings.epoch, settings.lr, 0.0, seed)
+    else:
+        objective = Objective(settings.model == "cbow", settings.ws, settings.neg if settings.loss == "ns" else 0, True, False)
+        params, losses = fit_sentences(
+            sentences, units, vocab.noise_distribution(words, 0.5), vocab.noise_distribution(words, 1.0), objective,
+            settings.dim, settings.epoch, settings.lr, 0.0, seed, chunk_tokens)
     links = units.select("lang", F.col("id").alias("_word"), F.explode("ids").alias("id"))
     means = subword.mean_by(links.join(_inputs(params), ["lang", "id"]), ["lang", "_word"], "vector")
     return Model(_named(means.withColumnRenamed("_word", "id"), words, f"fastText-{settings.model}"), losses, params)
