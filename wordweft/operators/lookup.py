@@ -15,7 +15,7 @@ from pyspark.sql.functions import pandas_udf
 from ..functions import text as tx
 from ..sources.session import cut
 from ..sources.vectors import VectorStore
-from .shape import tokens_of
+from .shape import tokens_of, words_of
 
 HOT_ROWS = 1024
 LOCAL_VOCAB_BYTES = 64 << 20
@@ -82,9 +82,8 @@ def _encode_in_place(lines: DataFrame, vocab: DataFrame, unknown: int | None, sh
                      carry: tuple[str, ...]) -> DataFrame:
     known = vocab.select(F.concat("lang", F.lit("\x00"), "word").alias("k"), (F.col("id") + shift).alias("v")).toArrow()
     shared = lines.sparkSession.sparkContext.broadcast(known)
-    words = tx.split_spaces(F.col("line"), keep_empty)
     keep = ["lang", "file", "slab", "seq", *carry]
-    rows = lines.select(*keep, words.alias("words"))
+    rows = lines.select(*keep, words_of(lines, keep_empty).alias("words"))
     schema = ", ".join(f"{name} {rows.schema[name].dataType.simpleString()}" for name in keep)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -151,11 +151,22 @@ def sequence_with_ends(tokens: Column, limit: int, start: str = "<S>", end: str
     return F.concat(F.array(F.lit(start)), F.slice(tokens, 1, limit), F.array(F.lit(end)))
 
 
+def with_words(lines: DataFrame) -> DataFrame:
+    """Lines cut into ``words``, empty ones included, in place of their text: what reads them again need not cut them."""
+    return lines.withColumn("words", tx.split_spaces(F.col("line"), True)).drop("line")
+
+
+def words_of(lines: DataFrame, keep_empty: bool = False) -> Column:
+    """The words of a line, from ``words`` where it is cut already."""
+    if "words" not in lines.columns:
+        return tx.split_spaces(F.col("line"), keep_empty)
+    return F.col("words") if keep_empty else F.array_remove("words", "")
+
+
 def tokens_of(lines: DataFrame, keep_empty: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per token: (lang, file, slab, seq, *carry, pos, word)."""
-    parts = tx.split_spaces(F.col("line"), keep_empty)
     return (
-        lines.select("lang", "file", "slab", "seq", *carry, F.posexplode(parts).alias("pos", "word"))
+        lines.select("lang", "file", "slab", "seq", *carry, F.posexplode(words_of(lines, keep_empty)).alias("pos", "word"))
         .withColumn("pos", F.col("pos").cast("bigint"))
     )
 

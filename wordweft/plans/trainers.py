@@ -29,10 +29,25 @@ class Model:
     params: DataFrame | None = None
 
 
+@dataclass(frozen=True)
+class Part:
+    """Lines of a learning-curve size, cut into words, with the counts of their words (lang, word, n)."""
+
+    lines: DataFrame
+    counts: DataFrame
+
+
+def _parts(kept: DataFrame | Part) -> tuple[DataFrame, DataFrame | None]:
+    return (kept.lines, kept.counts) if isinstance(kept, Part) else (kept, None)
+
+
 def _prepared(kept: DataFrame, min_count: int, limit: int | None, sample: float | None, seed: int,
-              keep_empty: bool = False, carry: tuple[str, ...] = ()):
+              keep_empty: bool = False, carry: tuple[str, ...] = (), counts: DataFrame | None = None):
     """(vocabulary with ids, sentences of ids) after the count, cap and sampling filters."""
-    words = vocab.word_counts(shape.tokens_of(kept, keep_empty), min_count)
+    if counts is None:
+        words = vocab.word_counts(shape.tokens_of(kept, keep_empty), min_count)
+    else:
+        words = counts.where((F.col("n") >= min_count) & (F.lit(keep_empty) | (F.col("word") != "")))
     if limit:
         words = vocab.capped(words, limit)
     words = vocab.with_ids(words)
@@ -54,7 +69,7 @@ def _sampled(kept: DataFrame, words: DataFrame, sample: float, seed: int, keep_e
         shape.tokens_of(kept, keep_empty), frequent, "n", [F.col("file"), F.col("seq"), F.col("pos")], "left"
     ).where(F.col("_q").isNull() | (drawn < F.col("_q")))
     return rest.groupBy("lang", "file", "slab", "seq").agg(
-        F.array_join(F.array_sort(F.collect_list(F.struct("pos", "word")))["word"], " ").alias("line"))
+        F.array_sort(F.collect_list(F.struct("pos", "word")))["word"].alias("words"))
 
 
 def _nothing(kept: DataFrame) -> Model:
@@ -72,10 +87,11 @@ def _inputs(params: DataFrame) -> DataFrame:
     return params.where(F.col("side") == 0).select("lang", "id", F.col("vec").alias("vector"))
 
 
-def train_glove(kept: DataFrame, settings: GloveSettings) -> Model:
+def train_glove(kept: DataFrame | Part, settings: GloveSettings) -> Model:
     """Kept lines -> vectors W + C of the merged rows' co-occurrences."""
     seed = settings.seed or 1
-    words, sentences = _prepared(shape.merged_rows(kept), settings.vocab_min_count, None, None, seed, carry=("doc_ord",))
+    kept, counts = _parts(kept)
+    words, sentences = _prepared(shape.merged_rows(kept), settings.vocab_min_count, None, None, seed, carry=("doc_ord",), counts=counts)
     if words.isEmpty():
         return _nothing(kept)
     counted = pairs.cooccurrence(pairs.position_chunks(sentences, settings.window_size), settings.window_size)
@@ -91,10 +107,11 @@ def train_glove(kept: DataFrame, settings: GloveSettings) -> Model:
     return Model(_named(both, words, "GloVe"), losses, params)
 
 
-def train_word2vec(kept: DataFrame, settings: Word2VecSettings, chunk_tokens: int = 1_000_000) -> Model:
+def train_word2vec(kept: DataFrame | Part, settings: Word2VecSettings, chunk_tokens: int = 1_000_000) -> Model:
     """Skip-gram (counted pairs, factored) or bag of words (sentence chunks), over a code tree or noise words."""
     seed = settings.seed or 1
-    words, sentences = _prepared(kept, settings.min_count, settings.max_final_vocab, settings.sample, seed, True)
+    kept, counts = _parts(kept)
+    words, sentences = _prepared(kept, settings.min_count, settings.max_final_vocab, settings.sample, seed, True, counts=counts)
     if words.isEmpty():
         return _nothing(kept)
     name = "w2v-skipgram" if settings.sg else "w2v-cbow"
@@ -134,9 +151,10 @@ def _predictions(sentences: DataFrame, words: DataFrame, settings: FastTextSetti
     return rows.select("lang", "pred", F.col("bag").alias("ids")), rows.select("lang", "pred", "target", F.lit(1).cast("bigint").alias("n"))
 
 
-def train_fasttext(kept: DataFrame, settings: FastTextSettings, chunk_tokens: int = 1_000_000) -> Model:
+def train_fasttext(kept: DataFrame | Part, settings: FastTextSettings, chunk_tokens: int = 1_000_000) -> Model:
     seed = settings.seed or 1
-    words, sentences = _prepared(kept, settings.minCount, None, settings.t, seed)
+    kept, counts = _parts(kept)
+    words, sentences = _prepared(kept, settings.minCount, None, settings.t, seed, counts=counts)
     if words.isEmpty():
         return _nothing(kept)
     units = word_units(words, settings) if settings.maxn else words.select("lang", "id", F.array("id").alias("ids"))
@@ -147,35 +165,40 @@ def train_fasttext(kept: DataFrame, settings: FastTextSettings, chunk_tokens: in
         params, losses = fit_sentences(
             sentences, units, vocab.noise_distribution(words, 0.5), vocab.noise_distribution(words, 1.0), objective,
             settings.dim, settings.epoch, settings.lr, 0.0, seed, chunk_tokens)
-    links = units.select("lang", F.col("id").alias("_word"), F.explode("ids").alias("id"))
-    means = subword.mean_by(links.join(_inputs(params), ["lang", "id"]), ["lang", "_word"], "vector")
-    return Model(_named(means.withColumnRenamed("_word", "id"), words, f"fastText-{settings.model}"), losses, params)
+    links = units.select("lang", F.col("id").alias("key"), F.explode("ids").alias("id"))
+    means = subword.blocked_means(links, _inputs(params))
+    return Model(_named(means.withColumnRenamed("key", "id"), words, f"fastText-{settings.model}"), losses, params)
 
 
 def unseen_vectors(model: Model, words: DataFrame, settings: FastTextSettings) -> DataFrame:
     """(lang, word, vector) for any words, from the n-gram rows that training has touched."""
     buckets = model.params.where((F.col("side") == 0) & (F.col("id") >= BUCKET_BASE)).select(
-        "lang", (F.col("id") - BUCKET_BASE).alias("bucket"), F.col("vec").alias("vector"))
+        "lang", (F.col("id") - BUCKET_BASE).alias("id"), F.col("vec").alias("vector"))
     grams = subword.subword_ngrams(words.select("lang", "word").distinct(), settings.minn, settings.maxn, settings.bucket)
-    return subword.mean_by(grams.join(buckets, ["lang", "bucket"]), ["lang", "word"], "vector")
+    return subword.blocked_means(grams.select("lang", F.col("word").alias("key"), F.col("bucket").alias("id")), buckets).withColumnRenamed("key", "word")
 
 
 def train_curve(lines: DataFrame, init: int, train) -> DataFrame:
     """Train on growing prefixes (``lines`` with ``ordinal``); returns all vectors with their ``size``.
 
-    A language takes part in a run until one run has read all of it.
+    A language takes part in a run until one run has read all of it. Lines are cut into words once. Words are counted
+    once per ring, the lines that a run reads and the one before did not; the counts of a size add up its rings. Pairs
+    do not add up so: a word that enters the vocabulary with a later size moves its neighbours apart in all earlier lines.
     """
-    lines = cut(lines)
+    lines = cut(shape.with_words(lines))
     totals = lines.groupBy("lang").agg(F.count("*").alias("n_lines"))
-    sizes = shape.curve_sizes(totals, init)
+    sizes = cut(shape.curve_sizes(totals, init))
     last = sizes.agg(F.max("run")).first()[0]
     if last is None:
         return _nothing(lines).vectors
+    ring = shape.curve_step(F.col("ordinal"), init).alias("ring")
+    rings = cut(lines.select("lang", ring, F.explode("words").alias("word")).groupBy("lang", "ring", "word").agg(F.count("*").alias("n")))
     whole = None
     for run in range(int(last) + 1):
         size = init * 2 ** run
-        langs = sizes.where(F.col("run") == run).select("lang")
+        langs = F.broadcast(sizes.where(F.col("run") == run).select("lang"))
+        counts = rings.where(F.col("ring") <= run).join(langs, "lang", "left_semi").groupBy("lang", "word").agg(F.sum("n").alias("n"))
         part = shape.prefix(lines, size).join(langs, "lang", "left_semi")
-        vectors = train(part).vectors.withColumn("size", F.lit(size).cast("bigint"))
+        vectors = train(Part(part, counts)).vectors.withColumn("size", F.lit(size).cast("bigint"))
         whole = vectors if whole is None else whole.unionByName(vectors)
     return whole
