@@ -34,24 +34,22 @@ def test_any_run_and_any_token_are_read_back(tmp_path, make):
 
 
 def test_widths_are_the_cheapest():
-    def cost(lengths, widths):
+    def cost(over, widths):
         bits, at = 0, 0
         for k, w in enumerate(widths):
-            held = lengths.sum() if k == 0 else lengths[at + 1:].sum()
-            bits += held * (w + (k < len(widths) - 1))
-            at += w
+            bits += over[at] * (w + (k < len(widths) - 1))
+            at += w // 4
         return bits
 
     def splits(top):
-        return [[top]] + [[w, *rest] for w in range(1, top) for rest in splits(top - w)]
+        return [[4 * top]] + [[4 * w, *rest] for w in range(1, top) for rest in splits(top - w)]
 
     rng = random.Random(3)
-    for _ in range(40):
-        lengths = np.array([rng.choice([0, 1, 7, 100]) for _ in range(rng.randint(1, 9))] + [rng.randint(1, 50)])
-        top = len(lengths) - 1
-        found = token_files.best_widths(lengths)
-        assert sum(found) == top
-        assert cost(lengths, found) == min(cost(lengths, w) for w in splits(top))
+    for _ in range(60):
+        over = sorted((rng.choice([1, 7, 100, 1000]) for _ in range(rng.randint(1, 8))), reverse=True)
+        found = token_files.best_widths([*over, 0])
+        assert sum(found) == 4 * len(over)
+        assert cost(over, found) == min(cost(over, w) for w in splits(len(over)))
 
 
 def test_reading_one_token_fetches_a_few_bytes(tmp_path):

@@ -3,8 +3,8 @@
 An id is split into chunks, lowest bits first. Level 0 holds the first chunk of every id at a fixed width, level k
 the (k+1)-th chunk of those ids that have one. Each level but the last has a continuation bitmap (does this id go
 on?) and a rank directory (set bits before each 512-bit block), so the place of an id in the next level is one
-directory entry and at most 64 bytes of bitmap away. The widths are those that store the file's ids in the fewest
-bits, by dynamic programming over their bit lengths.
+directory entry and at most 64 bytes of bitmap away. The widths, in half bytes, are those that store the file's ids in
+the fewest bits, by dynamic programming over their lengths.
 
 A file: magic, sections (document ids, token starts, levels), footer in JSON, footer length. Tasks write whole
 files into the shared folder; only files that the manifest names count, and Spark commits the manifest, so a
@@ -36,48 +36,50 @@ MAGIC = b"tokdac1\n"
 FILE_TOKENS = 16_000_000
 #: Tokens that a reader decodes at a time, and bits under one entry of a rank directory.
 RUN_TOKENS, BLOCK_BITS = 1 << 20, 512
+#: Chunk widths are whole numbers of half bytes.
+UNIT = 4
 
 MANIFEST = "file_no bigint, path string, n_docs bigint, n_tokens bigint, n_bytes bigint"
 
 
-def best_widths(lengths: np.ndarray) -> list[int]:
-    """Chunk widths that store values of these bit lengths (a histogram) in the fewest bits."""
-    over = lengths[::-1].cumsum()[::-1]  # over[b]: values of at least b bits
-    top = max(int(np.flatnonzero(lengths)[-1]), 1) if lengths.any() else 1
-    total = int(lengths.sum())
+def best_widths(over: list[int]) -> list[int]:
+    """Chunk widths that store values in the fewest bits; ``over[k]`` counts the values that need more than k units of
+    UNIT bits, ``over[0]`` all values."""
+    top = max([k for k, n in enumerate(over) if n], default=0) + 1
     cost, first = [0] * (top + 1), [0] * (top + 1)
     for at in range(top - 1, -1, -1):
-        held = total if at == 0 else int(over[at + 1])
-        cost[at], first[at] = min((held * (w + (at + w < top)) + cost[at + w], w) for w in range(1, top - at + 1))
+        cost[at], first[at] = min((over[at] * (UNIT * w + (at + w < top)) + cost[at + w], w) for w in range(1, top - at + 1))
     widths, at = [], 0
     while at < top:
-        widths.append(first[at])
+        widths.append(UNIT * first[at])
         at += first[at]
     return widths
 
 
 def pack_bits(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bits of each value, end to end."""
-    out = []
-    for at in range(0, len(values), RUN_TOKENS):
-        raw = values[at:at + RUN_TOKENS].astype("<u4").view(np.uint8).reshape(-1, 4)
-        out.append(np.packbits(np.unpackbits(raw, axis=1, count=width, bitorder="little").ravel(), bitorder="little").tobytes())
-    return b"".join(out)
+    """The low ``width`` bits of each value, end to end, the lowest first; a whole number of units each."""
+    units = width // UNIT
+    flat = np.zeros(len(values) * units + 1, np.uint8)
+    for k in range(units):
+        flat[k:-1:units] = (values >> np.uint32(UNIT * k)).astype(np.uint8) & 15
+    return (flat[:-1:2] | flat[1::2] << 4)[:-(-len(values) * units // 2)].tobytes()
 
 
 def unpack_bits(raw: bytes, skip: int, count: int, width: int) -> np.ndarray:
     """``count`` values of ``width`` bits, the first one ``skip`` bits into ``raw``."""
-    bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")[skip:skip + count * width]
-    parts = np.packbits(bits.reshape(count, width), axis=1, bitorder="little")
-    whole = np.zeros((count, 4), np.uint8)
-    whole[:, :parts.shape[1]] = parts
-    return whole.view("<u4").ravel()
+    units, packed = width // UNIT, np.frombuffer(raw, np.uint8)
+    flat = np.empty(2 * len(packed), np.uint8)
+    flat[::2], flat[1::2] = packed & 15, packed >> 4
+    flat = flat[skip // UNIT:skip // UNIT + count * units]
+    out = flat[::units].astype(np.uint32)
+    for k in range(1, units):
+        out |= flat[k::units].astype(np.uint32) << np.uint32(UNIT * k)
+    return out
 
 
 def encode_levels(ids: np.ndarray) -> Iterator[tuple[int, bytes, bytes, bytes]]:
     """(width, chunks, continuation bitmap, rank directory) of each level; the last has neither bitmap nor directory."""
-    bits = np.frexp(ids.astype(np.float64))[1] if len(ids) else np.zeros(0, np.int64)
-    widths, values = best_widths(np.bincount(bits, minlength=2)), ids
+    widths, values = best_widths([len(ids), *(int(np.count_nonzero(ids >> np.uint32(UNIT * k))) for k in range(1, 32 // UNIT))]), ids
     for k, width in enumerate(widths):
         chunks = pack_bits(values, width)
         if k == len(widths) - 1:
