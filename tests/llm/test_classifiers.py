@@ -140,3 +140,32 @@ def test_held_out_labels_teach_nothing(spark):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     a, b = (toxicity.train(docs.drop("toxic"), x) for x in (labels, labels.withColumn("toxic", F.when(held, 1).otherwise(F.col("toxic")))))
     assert a == b and a.flat is None
+
+
+def test_toxicity_learns_from_long_texts_too(spark):
+    """Where a class has only long texts, windows of them are learned from, and ordinary documents stay."""
+    rows = [(k, text + (" and calm prose" * 2200 if not toxic else ""), toxic) for k, text, toxic in planted(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.train(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    assert model.flat is None
+    kept = {r["doc_id"] for r in toxicity.keep_clean(docs, model).collect()}
+    assert {k for k, _, toxic in rows if not toxic} <= kept
+
+
+def test_toxicity_of_one_class_is_the_share_of_labels(spark):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(40)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k if k % 4 else 1000 + k, int(k % 4 == 0)) for k in range(40)], "doc_id bigint, toxic int")
+    known = [t for i, t in labels.collect() if zlib.crc32(str(i).encode()) % 3 != 1]
+    model = toxicity.train(docs, labels)
+    assert abs(model.flat - np.mean(known)) < 1e-9
+    assert toxicity.keep_clean(docs, model).count() == 40
+
+
+def test_language_learns_from_long_texts_too(spark):
+    rng = random.Random(3)
+    parts = {"aa": ["ka", "lo", "mi"], "bb": ["str", "ent", "och"]}
+    rows = [(2 * k + n, " ".join("".join(rng.choices(parts[lang], k=3)) for _ in range(20 if lang == "aa" else 5000)), lang)
+            for k in range(30) for n, lang in enumerate(parts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, language.train(docs)).collect()}
+    assert found == {k: lang for k, _, lang in rows}

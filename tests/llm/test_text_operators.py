@@ -201,3 +201,13 @@ def test_hint_sees_sentences_in_any_spacing(texts_of):
     got = {r["doc_id"]: r["sentences"] for r in licenses.scan(texts_of(texts)).collect()}
     want = [f"<{name}>" for name in licenses.SENTENCES for _ in gaps]
     assert [got[k] for k in range(len(texts))] == want + want
+
+
+def test_chat_lists_of_scalars_and_deep_records(spark):
+    records = ['{"messages": ["hello there", "answer"]}', '{"messages": []}', '{"messages": [[]]}', "[" * 100_000 + "]" * 100_000,
+               '{"a":' * 5000 + "1" + "}" * 5000, '{"messages": [{"role": "user", "content": ' + "[" * 400 + "]" * 400 + "}]}", '{"messages": 3}',
+               '{"messages": [{"role": "user", "content": "hi", "key": 1}]}', '{"messages": [{"role": "user", "content": "hi"}], "extra": null}']
+    rows = spark.createDataFrame(list(enumerate(records)), "conv_id bigint, record string")
+    found = {r["conv_id"]: (r["layout"], r["n_turns"]) for r in chat.format_records(rows).collect()}
+    assert found == {k: ("messages", 0) if k == 1 else (None, 0) for k in range(len(records))}
+    assert chat.digests(chat.format_records(rows)).count() == len(records)

@@ -10,8 +10,8 @@ backslash, and the start of any control string, is escaped by a backslash, so th
 without loss. The loss mask covers the escaped assistant texts, as [start, end) spans of code points.
 
 Records of unknown layout come out with layout null, no turns and an empty string; they are not dropped.
-Nulls: a null role or text is empty; a null or unreadable record has an unknown layout; an empty list of
-messages has no turns. Extra fields of a record change its paths and so its fingerprint; layouts are a
+Nulls: a null role or text is empty; a null or unreadable record, one nested too deep to be read, and a list of
+scalars where messages belong have an unknown layout; an empty list of messages has no turns. Extra fields of a record change its paths and so its fingerprint; layouts are a
 parameter and list their optional fields. Repeated turns are all kept, in order of (turn, role, text).
 An empty table gives no rows. Extra columns are ignored.
 """
@@ -42,16 +42,18 @@ LAYOUTS = {
     "question": {"turns": [("system", "context"), ("user", "question"), ("assistant", "answer")], "optional": ["context"]},
 }
 LOSS_ROLE = "assistant"
+#: Behind the path of an empty list; a list of scalars has its own path.
+EMPTY = "[0]"
 _SPECIAL = re.compile(r"\\|### |</turn>")
 _TURN = re.compile(r"### ((?:[^\\:\n]|\\.)*):\n(.*?)\n</turn>\n", re.DOTALL)
 
 
 def field_paths(value, path: str = "") -> set[str]:
-    """Paths of the leaves of a record; all items of a list share one path."""
+    """Paths of the leaves of a record; all items of a list share one path, and an empty list has one of its own."""
     if isinstance(value, dict):
         return set().union(*(field_paths(v, f"{path}.{k}" if path else k) for k, v in value.items())) if value else {path}
     if isinstance(value, list):
-        return set().union(*(field_paths(v, path + "[]") for v in value)) if value else {path + "[]"}
+        return set().union(*(field_paths(v, path + "[]") for v in value)) if value else {path + EMPTY}
     return {path}
 
 
@@ -66,7 +68,7 @@ def registry(layouts: dict = LAYOUTS) -> dict[str, tuple[str, dict]]:
         if "list" in layout:
             parts = layout["list"] + "[]"
             out[fingerprint({f"{parts}.{layout['role']}", f"{parts}.{layout['text']}"})] = (name, layout)
-            out[fingerprint({parts})] = (name, layout)
+            out[fingerprint({layout["list"] + EMPTY})] = (name, layout)
             continue
         fields, optional = [f for _, f in layout["turns"]], layout.get("optional", [])
         for n in range(len(optional) + 1):
@@ -153,10 +155,9 @@ def format_records(records: DataFrame, key: str = "conv_id", layouts: dict = LAY
             out = []
             for text in batch.column("record").to_pylist():
                 try:
-                    record = json.loads(text) if text is not None else None
-                except ValueError:
-                    record = None
-                name, turns = canonical_turns(record, known)
+                    name, turns = canonical_turns(json.loads(text) if text is not None else None, known)
+                except (ValueError, RecursionError):  # no JSON, or nested deeper than any layout
+                    name, turns = None, []
                 formatted, spans = format_turns(turns)
                 out.append((name, len(turns), formatted, [{"start": a, "stop": b} for a, b in spans]))
             columns = list(zip(*out)) or [()] * 4

@@ -20,24 +20,34 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def first_hashed(rows: DataFrame, count: int) -> list:
-    """The ids of the ``count`` first rows in hashed order of doc_id; only ids reach the driver."""
+def first_hashed(rows: DataFrame, count: int, most_chars: int) -> list:
+    """The ids of the ``count`` first rows (doc_id, n_chars) in hashed order of doc_id; longer texts come after all
+    others, so they fill the sample where there is nothing else. Only ids reach the driver."""
     at = F.xxhash64(F.col("doc_id").cast("string"), F.lit(5))
-    return [r[0] for r in rows.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(at, "doc_id").limit(count).collect()]
+    sized = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.col("n_chars") > most_chars).alias("is_long"))
+    return [r[0] for r in sized.orderBy("is_long", at, "doc_id").limit(count).collect()]
 
 
 def texts_by_id(docs: DataFrame, ids: list, most_chars: int) -> dict:
-    """Texts of at most ``most_chars`` code points of a bounded list of documents. A doc_id that several
-    rows share gives its smallest text."""
+    """Texts of a bounded list of documents; of a text of more than ``most_chars`` code points, a window of that length
+    at a hashed place. A doc_id that several rows share gives the smallest of its texts."""
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(i,) for i in ids], docs.select("doc_id").schema)
+    room = F.greatest(F.char_length("text") - most_chars + 1, F.lit(1))
+    start = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(6)), room) + 1).cast("int")
     found = (
-        doc_text(docs).join(F.broadcast(wanted), "doc_id").where(F.char_length("text") <= most_chars)
+        doc_text(docs).join(F.broadcast(wanted), "doc_id")
+        .withColumn("text", F.substring(F.col("text"), start, F.lit(most_chars)))
         .groupBy("doc_id").agg(F.min("text").alias("text"))
     )
     return {r["doc_id"]: r["text"] for r in found.collect()}
 
 
+def text_lengths(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_chars counted from the text, and the named columns."""
+    return docs.select("doc_id", F.char_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("n_chars"), *more)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the shared checkpoint folder (``spark.checkpoint.dir``)."""
     ensure_checkpoint_dir(spark)

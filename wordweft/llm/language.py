@@ -6,7 +6,8 @@ codeword, the exponential loss of all margins against its bits, and takes the co
 A text whose two best codewords lie close is flagged as ambiguous.
 
 Learning: per-language n-gram counts of a bounded sample (FIT_DOCS documents per language, the first in
-hashed order, of at most FIT_CHARS code points) give each bit a log-odds weight per n-gram; the margin of
+hashed order; of one with more than FIT_CHARS code points a window of that length, and only where there are not
+enough shorter ones) give each bit a log-odds weight per n-gram; the margin of
 a bit is the mean weight of the text's n-grams. Only text and language of documents that are not held out
 are learned from; a prediction sees text alone.
 
@@ -23,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_text, first_hashed, remainder, texts_by_id
+from .common import doc_text, remainder, text_lengths, texts_by_id
 
 FIT_DOCS, FIT_CHARS = 600, 30_000
 ORDERS = (1, 2, 3)
@@ -111,10 +112,15 @@ def fit(samples: dict[str, list[str]]) -> Model:
 
 def train(docs: DataFrame, held_out: int = 0, fit_docs: int = FIT_DOCS) -> Model:
     """Fit on documents whose crc32(doc_id as text) mod 5 is not ``held_out``."""
-    known = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & (remainder(F.col("doc_id"), 5) != held_out))
-    # One query over ids per language: the set of languages is a few hundred at most.
-    names = [r["lang"] for r in known.select("lang").distinct().collect()]
-    ids = {n: first_hashed(known.where(F.col("lang") == n), fit_docs) for n in names}
+    known = text_lengths(docs, "lang").where(
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (remainder(F.col("doc_id"), 5) != held_out))
+    # Ids of all languages in one job: a task hands on its own first ones of each.
+    first = Window.partitionBy("lang").orderBy("is_long", F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)), "doc_id")
+    sized = known.groupBy("lang", "doc_id").agg(F.min(F.col("n_chars") > FIT_CHARS).alias("is_long"))
+    rows = sized.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= fit_docs).select("lang", "nth", "doc_id").collect()
+    ids: dict[str, list] = {}
+    for r in sorted(rows, key=lambda r: (r["lang"], r["nth"])):
+        ids.setdefault(r["lang"], []).append(r["doc_id"])
     texts = texts_by_id(docs, sorted({i for chosen in ids.values() for i in chosen}), FIT_CHARS)
     return fit({n: [texts[i] for i in chosen if i in texts] for n, chosen in ids.items()})
 

@@ -14,7 +14,8 @@ dictionary as well, so that ordinary text costs the same in both. Windows are co
 text that both dictionaries end with, so a short window never falls back to stored bytes.
 
 Bounds: the model is fitted on at most FIT_DOCS documents per class, the first labelled ones in hashed
-order; those of more than FIT_CHARS code points are left out of the fit. The ordinary dictionary is trained
+order that exist; of one with more than FIT_CHARS code points a window of that length counts, and only where there
+are not enough shorter ones. The ordinary dictionary is trained
 on every k-th window of them, FIT_WINDOWS to 2 * FIT_WINDOWS where there are more. Everything else reads whole
 texts of all documents.
 
@@ -37,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_text, first_hashed, remainder, texts_by_id, with_fresh
+from .common import doc_text, first_hashed, remainder, text_lengths, texts_by_id, with_fresh
 
 FIT_DOCS, FIT_CHARS, FIT_WINDOWS = 2500, 30_000, 60_000
 WINDOW, STEP = 64, 48
@@ -153,7 +154,7 @@ def _calibrate(x: np.ndarray, y: np.ndarray, share: float, rounds: int = 50, rid
 def fit(toxic: list[str], ordinary: list[str], share: float | None = None) -> Model:
     """Train the dictionaries and calibrate on the same labelled texts; ``share`` of all are toxic."""
     if not toxic or not ordinary:
-        return Model(b"", b"", b"", (), flat=float(bool(toxic)))
+        return Model(b"", b"", b"", (), flat=float(bool(toxic)) if share is None else share)
     sides = [[normalise(t) for t in side] for side in (sorted(set(toxic)), sorted(set(ordinary)))]
     words = [[set(d.decode().split()) for d in side] for side in sides]
     chosen = toxic_words(*words)
@@ -179,7 +180,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, fit_docs: int =
     known = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     learned = known.where(remainder(F.col("doc_id"), 3) != held_out)
     share = learned.agg(F.avg("toxic")).first()[0]
-    ids = [first_hashed(learned.where(F.col("toxic") == kind), fit_docs) for kind in (1, 0)]
+    sized = text_lengths(docs).join(learned, "doc_id")
+    ids = [first_hashed(sized.where(F.col("toxic") == kind), fit_docs, FIT_CHARS) for kind in (1, 0)]
     texts = texts_by_id(docs, ids[0] + ids[1], FIT_CHARS)
     sides = [[texts[i] for i in side if i in texts] for side in ids]
     return fit(*sides, share)
