@@ -36,3 +36,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a plan reads; 0 where it reads none or they are not known (checkpointed rows)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 60)
