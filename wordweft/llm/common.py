@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.session import ensure_checkpoint_dir
+from ..sources.session import ensure_checkpoint_dir, stored_bytes
 
 
 def doc_text(docs: DataFrame, *more: str) -> DataFrame:
@@ -72,11 +72,10 @@ def with_fresh(df: DataFrame, stem: str) -> str:
 
 
 def tasks_for(df: DataFrame, task_bytes: int = 32 << 20) -> int:
-    """Tasks for one shuffle of a table: by the plan's estimate of its stored bytes, and at least as many as the
-    session asks for. A plan without an estimate (checkpointed rows) counts as the session asks."""
-    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Tasks for one shuffle of a table: by the bytes of the files that it is read from, and at least as many as the
+    session asks for."""
     asked = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(asked, -(-stored // task_bytes)) if stored < 1 << 60 else asked
+    return max(asked, -(-stored_bytes(df) // task_bytes))
 
 
 def shared_file_system(uri: str):
