@@ -28,7 +28,7 @@ def gap(vectors):
 
 @pytest.mark.parametrize("train", [
     lambda k: trainers.train_glove(k, GloveSettings(vector_size=10, max_iter=4, window_size=4, x_max=50, rate=0.3, local_passes=30)),
-    lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3, local_passes=30)),
+    lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10)),
     lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3, hs=0, negative=4, local_passes=30)),
     lambda k: trainers.train_word2vec(k, Word2VecSettings(vector_size=10, epochs=6, alpha=0.3, sg=0, hs=0, negative=4), 1500),
     lambda k: trainers.train_fasttext(k, FastTextSettings(dim=10, epoch=6, lr=0.3, minn=5, maxn=5, bucket=500, t=0), 1500),
@@ -101,6 +101,8 @@ def test_run_all(spark, tmp_path):
         ("w2v-s", True), ("flair-b", True), ("elmo", True), ("roberta", True), ("lda", False)}
     assert spark.read.parquet(f"{out}/vectors").where("algorithm = 'w2v-skipgram'").count() == 16
     assert spark.read.parquet(f"{out}/flair-b/sequences").count() > 0
+    held_out = [r["line"] for r in spark.read.parquet(f"{out}/flair-b/chars").selectExpr("sum(n) AS line").collect()]
+    assert held_out == [sum(len(planted(60)[k]) + 1 for k in (99, 100))]
     splits = spark.read.text(f"{out}/elmo/text")
     assert {r["split"]: r["count"] for r in splits.groupBy("split").count().collect()} == {"train": 118, "test": 1, "valid": 1}
     encoded = spark.read.parquet(f"{out}/roberta/encoded")

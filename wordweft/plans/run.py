@@ -49,12 +49,12 @@ def train_static(kept: DataFrame, algorithm: str, params: dict) -> trainers.Mode
 
 
 def prepare_char_lm(kept: DataFrame, settings: CharLmSettings, out: str) -> None:
-    """Split text, character dictionary and training windows."""
+    """Split text, character dictionary of the test and validation lines, and training windows."""
     lines = shape.with_split(kept)
     shard = F.when(F.col("split") == "train", shape.fixed_shard(F.col("train_ordinal"), settings.temp_file_sent_size)
                    ).otherwise(F.lit(1))
     sinks.write_prepared(lines.withColumn("shard", shard), f"{out}/text", "lang", "split", "shard")
-    sinks.write_table(vocab.char_dictionary(vocab.char_counts(lines)), f"{out}/chars", "lang")
+    sinks.write_table(vocab.char_dictionary(vocab.char_counts(lines.where(F.col("split") != "train"))), f"{out}/chars", "lang")
     train = lines.where(F.col("split") == "train")
     windows = lm.char_sequences(train, settings.mini_batch_size, settings.sequence_length)
     if not settings.is_forward_lm:
