@@ -3,6 +3,7 @@ import hashlib
 import json
 import random
 import re
+import textwrap
 
 import numpy as np
 
@@ -194,6 +195,49 @@ def test_licences_of_both_cuts_count(texts_of):
         ("all rights reserved", "proprietary", "<reserved><reserved>")]
 
 
+APACHE = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+          "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by")
+GPL = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {name}Public License "
+       "as published by the Free Software Foundation{cut} either version {version} of the License, or (at your option) any later version.")
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+       "conditions are met:\n{0} Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+       "following disclaimer.\n{1} Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+       "the following disclaimer in the documentation and/or other materials provided with the distribution.\n")
+ENDORSE = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+           "from this software without specific prior written permission.")
+
+
+def wrapped(text, mark, width):
+    return "\n".join(mark + line for part in text.split("\n") for line in textwrap.wrap(part, width))
+
+
+def test_licence_headers_however_they_are_wrapped(texts_of):
+    mit = f"{licenses.SENTENCES['mit-grant']}: {licenses.SENTENCES['mit-notice']}.".capitalize()
+    cases = [(APACHE, "Apache-2.0"), (mit, "MIT"), (BSD.format("1.", "2."), "BSD-2-Clause"), (BSD.format("*", "*") + ENDORSE, "BSD-3-Clause"),
+             (GPL.format(name="General ", cut=";", version=2), "GPL-2.0-or-later"), (GPL.format(name="General ", cut=",", version=3), "GPL-3.0-or-later"),
+             (GPL.format(name="Lesser General ", cut=";", version="2.1"), "LGPL-2.1-or-later"),
+             (GPL.format(name="Affero General ", cut=", ", version=3), "AGPL-3.0-or-later"),
+             ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+             (licenses.SENTENCES["isc"] + ".", "ISC"),
+             ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy", "MPL-2.0")]
+    texts, want = [], []
+    for text, licence in cases:
+        for mark, width in [("", 10_000), ("", 72), (" * ", 60), ("# ", 41), ("// ", 77), ("\t", 25), ("! ", 33), (";; ", 50)]:
+            for head in ["", "Copyright (c) 2015 Foo. All rights reserved.\n", "Copyright 2015, Foo\nAll rights reserved\n \n", "(c) 2015 Foo\n"]:
+                texts.append(f"/*\n{wrapped(head, mark, width)}\n{wrapped(text, mark, width)}\n */ code")
+                want.append(licence)
+    got = {r["doc_id"]: (r["licences"], r["family"]) for r in licenses.scan(texts_of(texts)).collect()}
+    assert [got[k][0] for k in range(len(texts))] == want
+    assert all(family in ("permissive", "copyleft") for _, family in got.values())
+
+
+def test_licence_sentences_stand_alone(texts_of):
+    texts = ["We released under the MIT License nothing", "Released under the MIT License we said", "x" + "." * 200_000 + "\n" * 200_000 + "All rights reserved",
+             "| Released under the MIT License | x |", "All rights reserved to\nus", "! " * 100_000 + "licensed under CC BY 4.0", "\u00e9. All rights reserved!"]
+    got = {r["doc_id"]: r["licences"] for r in licenses.scan(texts_of(texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == ["", "", "all rights reserved", "MIT", "", "CC-BY-4.0", "all rights reserved"]
+
+
 def test_hint_sees_sentences_in_any_spacing(texts_of):
     gaps = ["\n", "\t", "  ", "\u00a0", " -- "]
     texts = [f"(c) 2020 X. {gap.join(s.split())}" for s in licenses.SENTENCES.values() for gap in gaps]

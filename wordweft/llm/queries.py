@@ -87,8 +87,9 @@ def op4_mix_sources(spark, sf_dir):
 
 
 _KNOWN = "MAP {" + ", ".join(f"'{t}': '{i}'" for i, t in licenses.SENTENCES.items()) + "}"
-_IDS = ("list_filter(list_transform(string_split_regex(text, '{cut}'), lambda s: " + _KNOWN
-        + "[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))]), lambda x: x IS NOT NULL)")
+_CUT = "chr(10) || lower(text) || chr(10)"
+for _pattern, _replacement in licenses.NORMALISE:
+    _CUT = f"regexp_replace({_CUT}, '{_pattern}', '{_replacement.replace('$', chr(92))}', 'g')"
 _BY_RULE = {k: "MAP {" + ", ".join(f"'{q}': '{v}'" for q, v in {
     licenses.sequence_of(r[0]): r[k] for r in reversed(licenses.RULES)}.items()) + "}" for k in (1, 2)}
 _FAMILY = " ".join(f"WHEN list_contains(families, '{f}') THEN '{f}'" for f in licenses.FAMILIES)
@@ -96,8 +97,7 @@ _FAMILY = " ".join(f"WHEN list_contains(families, '{f}') THEN '{f}'" for f in li
 
 @query(f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-i AS (SELECT doc_id, {_IDS.replace('{cut}', licenses.LINES)} AS lines, {_IDS.replace('{cut}', licenses.PARAGRAPHS)} AS wrapped FROM d),
-c AS (SELECT doc_id, CASE WHEN len(wrapped) > len(lines) THEN wrapped ELSE lines END AS ids FROM i),
+c AS (SELECT doc_id, list_transform(regexp_extract_all({_CUT}, '{licenses.SENTENCE}', 1), lambda x: {_KNOWN}[replace(x, chr(10) || chr(10), ' ')]) AS ids FROM d),
 q AS (SELECT doc_id, ids, coalesce(array_to_string(list_transform(ids, lambda x: '<' || x || '>'), ''), '') AS sentences FROM c),
 m AS (SELECT *, regexp_extract_all(sentences, '{"|".join(licenses.sequence_of(r[0]) for r in licenses.RULES)}') AS matched FROM q),
 f AS (SELECT *, list_transform(matched, lambda x: {_BY_RULE[1]}[x]) AS names, list_transform(matched, lambda x: {_BY_RULE[2]}[x]) AS families FROM m)
