@@ -59,5 +59,5 @@ def test_query_equals_sql(spark, name):
 
 
 def test_registry():
-    assert {f"op{k}" for k in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {f"op{k}" for k in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in queries.QUERIES}
     assert not any("wordweft.llm" in open(m.__file__).read() for m in map(importlib.import_module, ("wordweft", "wordweft.catalog")))
