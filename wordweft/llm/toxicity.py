@@ -8,11 +8,15 @@ document into a probability.
 Training text. Most of a toxic document is ordinary text, on which a dictionary learns nothing about the
 class. Toxic samples therefore keep the words that recur in distinct toxic documents and that ordinary
 documents hardly have: those that are significantly more than TEST_LIFT times likelier in toxic documents
-(one-sided binomial test, false discovery rate ERROR_RATE over all words tested), however rare they are next to other toxic words. A toxic
-word too short to be matched is spelled with a tail of its own, in the dictionary and in the windows. Both compressors hold the ordinary dictionary, the toxic one holds the toxic
+(one-sided binomial test, false discovery rate ERROR_RATE over all words tested), however rare they are next to
+other toxic words. What of them the toxic dictionary holds is up to its training. It has room for TOXIC_ROOM times
+the bytes of the distinct words. Both compressors hold the ordinary dictionary, the toxic one holds the toxic
 dictionary as well, so that ordinary text costs the same in both. Windows are compressed behind a carrier
 text that both dictionaries end with, so a short window never falls back to stored bytes.
 
+A word shorter than a match that the ordinary dictionary lacks is repeated to a match's length, in every text and
+whatever its label, so that short words can be matched at all.
+
 Bounds: the model is fitted on at most FIT_DOCS documents per class, the first labelled ones in hashed
 order that exist; of one with more than FIT_CHARS code points a window of that length counts, and only where there
 are not enough shorter ones. The ordinary dictionary is trained
@@ -29,9 +33,8 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -42,12 +45,16 @@ from .common import doc_text, first_hashed, remainder, text_lengths, texts_by_id
 
 FIT_DOCS, FIT_CHARS, FIT_WINDOWS = 2500, 30_000, 60_000
 WINDOW, STEP = 64, 48
-ORDINARY_BYTES, TOXIC_BYTES, CARRIER = 32_768, 1024, 64
+ORDINARY_BYTES, TOXIC_BYTES, TOXIC_ROOM, CARRIER = 32_768, 1024, 4, 64
 #: A toxic sample word: recurs in this many documents, this much likelier than in ordinary ones. No more than a
 #: share ERROR_RATE of the words found may have a lift of TEST_LIFT or less and be there by chance.
 MIN_DOCS, MIN_LIFT, TEST_LIFT, ERROR_RATE = 3, 8.0, 2.0, 0.01
-#: The shortest match of the compressors, in bytes.
-MIN_MATCH = 6
+#: The shortest match of the compressors, in bytes, and what short words are repeated to.
+MIN_MATCH, SPELLED = 6, 6
+#: Dictionaries are trained on segments of this many bytes, weighed by the pieces of so many bytes in them.
+ORDINARY_COVER, TOXIC_COVER = (48, 6), (24, 8)
+#: The last bytes of the header of a trained dictionary (its three starting offsets); the content follows them.
+HEADER_END = b"\x01\0\0\0\x04\0\0\0\x08\0\0\0"
 #: Margins, in bytes, whose passing the calibration weighs one by one, and the score of a rejection.
 THRESHOLDS = (3, 4, 5, 6)
 THRESHOLD = 0.7
@@ -63,9 +70,14 @@ def windows(data: bytes) -> list[bytes]:
     return [data[k:k + WINDOW] for k in range(0, max(1, len(data) - WINDOW + STEP), STEP)]
 
 
-def spelled(data: bytes, tails: dict[bytes, bytes]) -> bytes:
-    """Normalised bytes with the short toxic words spelled with their tails."""
-    return b" ".join(tails.get(w, w) for w in data.split(b" ")) if tails else data
+def short_words(dictionary: bytes) -> frozenset[bytes]:
+    """The whole words of a dictionary that are too short for a match."""
+    return frozenset(w for w in dictionary.split(b" ")[1:-1] if w and len(w) + 2 < MIN_MATCH)
+
+
+def spelled(data: bytes, short: frozenset[bytes]) -> bytes:
+    """Normalised bytes with the words too short for a match repeated, unless they are in ``short``."""
+    return b" ".join([w if len(w) + 2 >= MIN_MATCH or not w or w in short else w * -(-SPELLED // len(w)) for w in data.split(b" ")])
 
 
 @dataclass
@@ -77,7 +89,7 @@ class Model:
     carrier: bytes
     weights: tuple[float, ...]
     flat: float | None = None  # score of all documents where nothing could be learned
-    tails: dict[bytes, bytes] = field(default_factory=dict)  # spelling of toxic words too short for a match
+    short: frozenset[bytes] = frozenset()  # short words of the ordinary dictionary, which are not repeated
 
     def compressors(self):
         import zstandard
@@ -96,7 +108,7 @@ class Model:
         ordinary, toxic = self.compressors()
         carrier, out = self.carrier, []
         for text in texts:
-            cuts = [carrier + w for w in windows(spelled(normalise(text), self.tails))]
+            cuts = [carrier + w for w in windows(spelled(normalise(text), self.short))]
             margins = [len(ordinary(w)) - len(toxic(w)) for w in cuts]
             most = max(margins)
             out.append((1.0, min(most, 12) / 4, *(float(most >= t) for t in THRESHOLDS),
@@ -132,10 +144,10 @@ def toxic_words(toxic: list[set[str]], ordinary: list[set[str]]) -> dict[str, in
 
 
 def _trained(samples: list[bytes], size: int, k: int, d: int) -> bytes:
-    """A trained dictionary, or the last bytes of the samples where there is too little to train on."""
+    """The content of a trained dictionary, or the last bytes of the samples where there is too little to train on."""
     import zstandard
     try:
-        return zstandard.train_dictionary(size, samples, k=k, d=d).as_bytes()[-size:]
+        return zstandard.train_dictionary(size + 256, samples, k=k, d=d).as_bytes().partition(HEADER_END)[2][-size:]
     except zstandard.ZstdError:
         return b"".join(samples)[-size:]
 
@@ -158,17 +170,14 @@ def fit(toxic: list[str], ordinary: list[str], share: float | None = None) -> Mo
     sides = [[normalise(t) for t in side] for side in (sorted(set(toxic)), sorted(set(ordinary)))]
     words = [[set(d.decode().split()) for d in side] for side in sides]
     chosen = toxic_words(*words)
-    tails = {w.encode(): f"{w}{zlib.crc32(w.encode()):08x}".encode() for w in chosen if len(w.encode()) + 2 < MIN_MATCH}
     cuts = [w for d in sides[1] for w in windows(d)]
-    base = _trained(cuts[::max(1, len(cuts) // FIT_WINDOWS)], ORDINARY_BYTES, 48, 6)
+    base = _trained(cuts[::max(1, len(cuts) // FIT_WINDOWS)], ORDINARY_BYTES, *ORDINARY_COVER)
+    short = short_words(base)
     samples = [(" " + " ".join(w for w in d.decode().split() if w in chosen) + " ").encode() for d in sides[0]]
-    samples = [spelled(s, tails) for s in samples if len(s) > 2]
-    samples = [s for s in samples if len(s) > 8]
-    trained = _trained(samples, TOXIC_BYTES, 16, 8) if samples else b""
-    listed = spelled((" " + " ".join(sorted(chosen, key=lambda w: (chosen[w], w))) + " ").encode(), tails)
-    missing = [w for w in listed.decode().split() if f" {w} ".encode() not in trained]
-    toxic_part = ((" " + " ".join(missing) + " ").encode() if missing else b"") + trained
-    model = Model(base[:-CARRIER], toxic_part, base[-CARRIER:], (), tails=tails)
+    samples = [spelled(s, short) for s in samples if len(s) > 2]
+    room = TOXIC_ROOM * sum(len(w.encode()) + 1 for w in chosen)
+    trained = _trained(samples, max(TOXIC_BYTES, room), *TOXIC_COVER) if samples else b""
+    model = Model(base[:-CARRIER], trained, base[-CARRIER:], (), short=short)
     x = model.features([*toxic, *ordinary])
     y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
     model.weights = _calibrate(x, y, y.mean() if share is None else share)
