@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_text, keep
+from .common import doc_text, keep, tasks_for
 from .shingles import mix64, slices
 
 #: Anchors: common words of the four languages (a parameter; any list of frequent words serves).
@@ -103,8 +103,7 @@ def edit(text: str, following: str) -> str:
 
 def _in_order(docs: DataFrame) -> DataFrame:
     """block, tail, doc_id, text: blocks of consecutive ids, each followed by the document after it."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = tasks_for(docs)
     order = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("k")
     keys = docs.select(order)
     # The cuts and heads below are one number per block.
