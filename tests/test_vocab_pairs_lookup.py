@@ -1,5 +1,7 @@
 import collections
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +164,16 @@ def test_store_joins_move_no_vector(spark):
         assert VectorStore.of(store) is store
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_word_index_compares_words_and_is_flat(monkeypatch):
+    """No object per word travels to a task, and words that share a hash are told apart."""
+    words = [f"w{k}" for k in range(5000)]
+    index = lookup.WordIndex.of(pa.chunked_array([words[:3000], words[3000:]]), pa.chunked_array([range(5000)], pa.int64()))
+    assert index.find(pa.array(["w7", "none", "w4999"])).to_pylist() == [7, None, 4999]
+    assert index.hashes.nbytes + index.words.nbytes + index.numbers.nbytes < 40 * len(words)
+    monkeypatch.setattr(lookup, "_hashes", lambda found: np.array([len(w) for w in found.to_pylist()], np.uint64))
+    clash = lookup.WordIndex.of(pa.chunked_array([["aa", "b", "cc", "dd"]]), pa.chunked_array([[1, 2, 3, 4]], pa.int64()))
+    assert clash.find(pa.array(["dd", "aa", "b", "ee", "", "ccc"])).to_pylist() == [4, 1, 2, None, None, None]
+    empty = lookup.WordIndex.of(pa.chunked_array([], pa.string()), pa.chunked_array([], pa.int64()))
+    assert empty.find(pa.array(["a"])).to_pylist() == [None]
