@@ -177,3 +177,10 @@ def test_word_index_compares_words_and_is_flat(monkeypatch):
     assert clash.find(pa.array(["dd", "aa", "b", "ee", "", "ccc"])).to_pylist() == [4, 1, 2, None, None, None]
     empty = lookup.WordIndex.of(pa.chunked_array([], pa.string()), pa.chunked_array([], pa.int64()))
     assert empty.find(pa.array(["a"])).to_pylist() == [None]
+
+
+def test_noise_entries_are_flat(kept):
+    entries = pairs._noise_entries(vocab.noise_distribution(words_of(kept)))
+    for low, ids, words in entries.values():
+        assert low.dtype == np.float64 and ids.dtype == np.int64 and isinstance(words, pa.StringArray)
+        assert ids.tolist() == list(range(len(ids))) and low[0] == 0.0
