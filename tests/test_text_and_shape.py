@@ -135,3 +135,15 @@ def test_range_rank_with_a_hot_tie(spark):
     got = {(r["lang"], r["word"]): r["id"] for r in range_rank(frame, ["lang"], [F.desc("n"), F.asc("word")], "id", 6).collect()}
     assert got["a", "top"] == 0 and got["b", "x"] == 0 and got["b", "y"] == 1
     assert [got["a", f"w{k:04d}"] for k in range(900)] == list(range(1, 901))
+
+
+def test_tagged_texts_need_no_shuffle(spark):
+    texts = spark.createDataFrame([
+        (1, "a\tX\nb\tY\n\nc\tX\n"), (2, "\n \na\tX\r\n\n\n\nb\tY\nc  d\n\n"), (3, ""), (4, None), (5, "one"), (6, "\n")],
+        "doc_id bigint, text string").withColumn("lang", F.lit("Train"))
+    found = shape.sentences_of_tagged_texts(texts)
+    by_lines = shape.sentences_of_tagged(corpus.lines_from_texts(texts))
+    assert found.columns == by_lines.columns
+    key = lambda r: (r["file"], r["sent_id"], r["pos"])
+    assert sorted(found.collect(), key=key) == sorted(by_lines.collect(), key=key)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
