@@ -184,3 +184,20 @@ def test_noise_entries_are_flat(kept):
     for low, ids, words in entries.values():
         assert low.dtype == np.float64 and ids.dtype == np.int64 and isinstance(words, pa.StringArray)
         assert ids.tolist() == list(range(len(ids))) and low[0] == 0.0
+
+
+def test_hot_words_are_not_shuffled(spark, monkeypatch):
+    """Rows that match a broadcast word stay in their partition; rows without a word are kept and match nothing."""
+    monkeypatch.setattr(lookup, "HOT_ROWS", 1)
+    words = spark.createDataFrame([("a", "the", 9, 1), ("a", "cat", 2, 2)], "lang string, word string, n bigint, id bigint")
+    here = F.spark_partition_id().alias("part")
+    rows = spark.range(0, 400, 1, 4).select(
+        F.lit("a").alias("lang"), F.when(F.col("id") % 8 == 0, "cat").when(F.col("id") % 8 == 1, "dog").when(
+            F.col("id") % 8 == 2, F.lit(None)).otherwise("the").alias("word"), "id").withColumnRenamed("id", "k").select("*", here)
+    left = lookup.lookup_join(rows, words, "n", "left").collect()
+    inner = lookup.lookup_join(rows, words, "n", "inner").collect()
+    want = {"the": 1, "cat": 2}
+    assert sorted(r["k"] for r in left) == list(range(400)) and all(r["id"] == want.get(r["word"]) for r in left)
+    assert sorted((r["k"], r["id"]) for r in inner) == sorted((r["k"], r["id"]) for r in left if r["id"])
+    hot = lookup.lookup_join(rows, words, "n", "left").where("word = 'the'")
+    assert hot.where(F.spark_partition_id() == F.col("part")).count() == hot.count() == 250
