@@ -77,6 +77,24 @@ def test_skipgram_and_bags(kept):
     assert sum(r["n"] for r in reduced.collect()) < sum(want.values())
 
 
+def test_pairs_meet_in_packed_buckets(spark):
+    """No row per pair is shuffled, and buckets that fall into several batches and tasks are summed whole."""
+    lines = [("aa" if k % 3 else "bb", k, 0, 0, [(k * j) % 7 for j in range(1, 9)]) for k in range(60)]
+    sentences = spark.createDataFrame(lines, "lang string, file bigint, slab bigint, seq bigint, ids array<bigint>").repartition(9)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        found = pairs.skipgram_pairs(sentences, 2, dynamic=False)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    want = collections.Counter((lang, a, b) for lang, *_, ids in lines for i, a in enumerate(ids)
+                               for b in ids[max(0, i - 2):i] + ids[i + 1:i + 3])
+    assert len(rows) == len(want) and {(r["lang"], r["w"], r["c"]): r["n"] for r in rows} == want
+    assert "HashAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_noise_draws_by_brute_force(spark, kept):
     noise = vocab.noise_distribution(words_of(kept))
     draws = spark.range(3000).select(F.element_at(F.array(F.lit("aa"), F.lit("bb")), (F.col("id") % 2 + 1).cast("int")).alias("lang"),
