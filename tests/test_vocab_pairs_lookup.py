@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordweft.functions.hashing import hash_uniform
 from wordweft.operators import lookup, pairs, shape, subword, vocab
+from wordweft.operators.ordinal import hash_rank
 from wordweft.sources.corpus import lines_from_texts
 
 TEXT = {"aa": {1: ["the cat saw the dog", "the the the"], 2: ["a dog", "cat saw a cat the dog"], 9: ["lone"]},
@@ -95,6 +96,21 @@ def test_pairs_meet_in_packed_buckets(spark):
     assert "HashAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_digests_are_not_shuffled(spark):
+    rows = spark.range(500).select((F.col("id") % 2).cast("string").alias("lang"), F.col("id").alias("w"))
+    digest = F.md5(F.col("w").cast("string"))
+    ranked = hash_rank(rows, ["lang"], digest, ["w"], "place", 1)
+    want = {(r["lang"], r["w"]): r["d"] for r in rows.select("lang", "w", digest.alias("d")).collect()}
+    for lang in "01":
+        got = [r["w"] for r in ranked.where(F.col("lang") == lang).orderBy("place").collect()]
+        assert got == sorted((w for k, w in want if k == lang), key=lambda w: want[lang, w])
+    assert ranked.columns == ["lang", "w", "place"]
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    # Above the exchange of the rows, not below it.
+    assert plan.index("unhex") < plan.index("REPARTITION_BY_COL")
+
+
 def test_noise_draws_by_brute_force(spark, kept):
     noise = vocab.noise_distribution(words_of(kept))
     draws = spark.range(3000).select(F.element_at(F.array(F.lit("aa"), F.lit("bb")), (F.col("id") % 2 + 1).cast("int")).alias("lang"),
