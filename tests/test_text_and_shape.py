@@ -147,3 +147,12 @@ def test_tagged_texts_need_no_shuffle(spark):
     key = lambda r: (r["file"], r["sent_id"], r["pos"])
     assert sorted(found.collect(), key=key) == sorted(by_lines.collect(), key=key)
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_character_windows_do_not_number_lines(spark, monkeypatch):
+    """Windows follow running sums; an ordinal would shuffle every line once more for each of them."""
+    from wordweft import catalog
+    seen, keep = [], catalog.lm.char_sequences
+    monkeypatch.setattr(catalog.lm, "char_sequences", lambda lines, *rest: (seen.append(lines.columns), keep(lines, *rest))[1])
+    catalog.char_lm_sequences(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 1 and "ordinal" not in seen[0]
