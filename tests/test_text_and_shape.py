@@ -156,3 +156,9 @@ def test_character_windows_do_not_number_lines(spark, monkeypatch):
     monkeypatch.setattr(catalog.lm, "char_sequences", lambda lines, *rest: (seen.append(lines.columns), keep(lines, *rest))[1])
     catalog.char_lm_sequences(spark, "/root/testdata/sf0.001")
     assert len(seen) == 1 and "ordinal" not in seen[0]
+
+
+def test_characters_are_encoded_where_the_lines_are(spark):
+    from wordweft import catalog
+    plan = catalog.encode_chars(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
