@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -50,3 +52,14 @@ def test_curve_equals_single_trainings_and_cuts_words_once(kept_of, monkeypatch)
 def test_subsampled_lines_keep_their_words(kept_of):
     model = trainers.train_fasttext(lines_of(kept_of), FastTextSettings(dim=4, epoch=1, minCount=1, t=0.05, bucket=50, seed=2))
     assert {"alpha", "beta"} <= {r["word"] for r in model.vectors.collect()}
+
+
+def test_sizes_of_a_curve_train_at_a_time(kept_of):
+    lines, meet = lines_of(kept_of), threading.Barrier(2)
+
+    def train(part):
+        meet.wait(60)
+        return trainers.Model(part.counts.select("lang", F.lit("any").alias("algorithm"), F.lit(-1).alias("size"), "word"), [])
+
+    found = trainers.train_curve(lines, 12, train)
+    assert {r["size"] for r in found.select("size").distinct().collect()} == {12, 24}
