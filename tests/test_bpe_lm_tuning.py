@@ -2,6 +2,7 @@ import collections
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,3 +211,27 @@ def test_settings():
         Word2VecSettings(hs=0, negative=0)
     with pytest.raises(ValueError):
         RunSettings.of({"input_dir": "i", "output_dir": "o", "algorithms": ["glove"]})
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_passes_over_all_words_equal_single_words(seed):
+    """Runs of one symbol, words of one symbol, merges learned twice, and words side by side."""
+    rng = random.Random(seed)
+    words = [[rng.randrange(3) for _ in range(rng.randint(1, 12))] for _ in range(50)] + [[0] * k for k in range(1, 7)]
+    pairs, merged = [], []
+    for k in range(12):
+        pairs.append(rng.choice(pairs) if pairs and rng.random() < 0.2 else (rng.randrange(3 + k), rng.randrange(3 + k)))
+        merged.append(3 + k)
+    flat = np.array([s for w in words for s in w], np.int32)
+    got, word = merges.merge_passes(flat, np.repeat(np.arange(len(words)), [len(w) for w in words]), pairs, merged)
+    assert [got[word == k].tolist() for k in range(len(words))] == [merges.merge_symbols(w, merges.ranks_of(pairs), merged, True) for w in words]
+
+
+def test_a_round_takes_no_more_pairs_than_its_merges_can_use(spark, monkeypatch):
+    taken, find = [], merges.segments_of
+    monkeypatch.setattr(merges, "segments_of", lambda words, active: (taken.append(len(active)), find(words, active))[1])
+    rng = random.Random(8)
+    words = {"".join(rng.choice("abcdefgh") for _ in range(6)): rng.randint(3, 30) for _ in range(60)}
+    counts = spark.createDataFrame(list(words.items()), "pretoken string, n bigint")
+    assert bpe.train_bpe(counts, 261 + 6) == one_at_a_time(words, 6)
+    assert taken[0] == 12

@@ -25,6 +25,9 @@ from ..sources.session import cut
 
 #: Pairs of a round, symbols of its segments that the driver takes, and pairs that a task sums before it emits them.
 ACTIVE, SEGMENT_SYMBOLS, SUM_PAIRS = 8192, 2_000_000, 2_000_000
+#: Merges that are applied to all words of a batch in one pass each; more of them are applied word by word. Cells of a table
+#: of all pairs of symbols that a task sums in.
+PASSES, TABLE_CELLS = 256, 1 << 20
 WORDS = "symbols array<int>, n bigint"
 
 
@@ -62,6 +65,25 @@ def merge_symbols(parts: list, ranks: dict, merged: list, in_order: bool = False
     return [p for p in parts if p is not None]
 
 
+def merge_passes(flat: np.ndarray, word: np.ndarray, pairs: list[tuple[int, int]], merged: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Apply merges in order to many words laid end to end, left to right in each: (symbols, number of each symbol's word)."""
+    flat = flat.copy()
+    for (a, b), new in zip(pairs, merged):
+        i = np.flatnonzero(flat[:-1] == a)
+        i = i[(flat[i + 1] == b) & (word[i + 1] == word[i])]
+        if not len(i):
+            continue
+        if a == b:
+            # Of a run of equal symbols every other pair is merged.
+            k = np.arange(len(i))
+            i = i[(k - np.maximum.accumulate(np.where(np.r_[True, np.diff(i) != 1], k, 0))) % 2 == 0]
+        flat[i] = new
+        keep = np.ones(len(flat), bool)
+        keep[i + 1] = False
+        flat, word = flat[keep], word[keep]
+    return flat, word
+
+
 def ranks_of(pairs: list[tuple]) -> dict[tuple, list[int]]:
     """Ranks of each pair, ascending; a pair may have been learned twice."""
     ranks = defaultdict(list)
@@ -101,6 +123,17 @@ def _neighbours(flat: np.ndarray, word: np.ndarray) -> np.ndarray:
 def pair_totals(words: DataFrame, order: np.ndarray) -> DataFrame:
     """(pair, n): adjacent symbols, weighted by the count of the word. A pair is numbered by the places of its two
     symbols among all symbols sorted by text (``order``), so that ties sort by text."""
+    symbols = len(order)
+
+    def count_in_table(batches):
+        total = np.zeros(symbols * symbols, np.int64)
+        for batch in batches:
+            flat, word, n = _spread_out(batch)
+            i = _neighbours(flat, word)
+            np.add.at(total, order[flat[i]] * symbols + order[flat[i + 1]], n[word[i]])
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at // symbols << 32 | at % symbols), pa.array(total[at])], names=["pair", "n"])
+
     def count(batches):
         keys, weights, held = [], [], 0
 
@@ -122,7 +155,8 @@ def pair_totals(words: DataFrame, order: np.ndarray) -> DataFrame:
         if held:
             yield summed()
 
-    return words.mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    found = words.mapInArrow(count_in_table if symbols * symbols <= TABLE_CELLS else count, "pair bigint, n bigint")
+    return found.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def segments_of(words: DataFrame, active: np.ndarray) -> DataFrame:
@@ -225,11 +259,19 @@ class PairIndex:
 
 
 def apply_merges(words: DataFrame, pairs: list[tuple[int, int]], merged: list[int]) -> DataFrame:
-    """Words after the merges of a round. Only words that hold one of their pairs are taken apart; words of one
-    symbol are left out."""
+    """Words after the merges of a round: in a pass over all words for each of few merges. Of many merges, only words that
+    hold one of their pairs are taken apart. Words of one symbol are left out."""
     firsts = np.unique(np.array([a << 32 | b for a, b in pairs], np.int64))
     ranks = ranks_of(pairs)
 
+    def apply_passes(batches):
+        for batch in batches:
+            flat, word, n = _spread_out(batch)
+            flat, word = merge_passes(flat, word, pairs, merged)
+            lengths = np.bincount(word, minlength=len(n))
+            long = lengths > 1
+            yield pa.RecordBatch.from_arrays([_lists(flat[long[word]], lengths[long]), pa.array(n[long])], names=["symbols", "n"])
+
     def apply(batches):
         for batch in batches:
             flat, word, n = _spread_out(batch)
@@ -246,7 +288,7 @@ def apply_merges(words: DataFrame, pairs: list[tuple[int, int]], merged: list[in
             yield pa.RecordBatch.from_arrays([pa.array([new[k] for k in long], pa.list_(pa.int32())), pa.array(n[touched[long]])],
                                              names=["symbols", "n"])
 
-    return words.mapInArrow(apply, WORDS).where(F.size("symbols") > 1)
+    return words.mapInArrow(apply_passes if len(pairs) <= PASSES else apply, WORDS).where(F.size("symbols") > 1)
 
 
 def learn_merges(counts: DataFrame, room: int, min_frequency: int, spelled: list[str], active: int = ACTIVE,
@@ -254,16 +296,18 @@ def learn_merges(counts: DataFrame, room: int, min_frequency: int, spelled: list
     """Merges of (pretoken, n) in rank order: at most ``room``, of pairs that occur ``min_frequency`` times.
 
     ``spelled`` names the 256 bytes. Pairs rank by (count, left, right). The driver sees at most ``active`` pairs and
-    ``segment_symbols`` symbols of distinct segments per round; where they are more, the round takes fewer pairs.
+    ``segment_symbols`` symbols of distinct segments per round; where they are more, the round takes fewer pairs. It starts
+    with no more pairs than the merges that are left can use, nor four times those of the round before.
     """
     spelled = list(spelled)
     known = {text: k for k, text in enumerate(spelled)}
-    words, merges = cut(words_of(counts).where(F.size("symbols") > 1)), []
+    words, merges, width = cut(words_of(counts).where(F.size("symbols") > 1)), [], active
     while len(merges) < room:
+        wanted = max(min(active, 2 * (room - len(merges)), 4 * width), 2)
         by_text = np.argsort(np.array(spelled, object), kind="stable")
         order = np.empty(len(spelled), np.int64)
         order[by_text] = np.arange(len(spelled))
-        found = pair_totals(words, order).where(F.col("n") >= min_frequency).orderBy(F.desc("n"), "pair").limit(active).collect()
+        found = pair_totals(words, order).where(F.col("n") >= min_frequency).orderBy(F.desc("n"), "pair").limit(wanted).collect()
         if not found:
             break
         ranked = [(int(by_text[r["pair"] >> 32]), int(by_text[r["pair"] & 0xFFFFFFFF]), r["n"]) for r in found]
@@ -284,7 +328,7 @@ def learn_merges(counts: DataFrame, room: int, min_frequency: int, spelled: list
         else:
             taken = ranked[:width]
             last = taken[-1]
-            boundary = None if width == len(ranked) < active else (-last[2], spelled[last[0]], spelled[last[1]])
+            boundary = None if width == len(ranked) < wanted else (-last[2], spelled[last[0]], spelled[last[1]])
             index = PairIndex([(r["segment"], r["n"]) for r in held.toLocalIterator()], {p[:2] for p in taken}, spelled, known)
             learned = list(index.learn(room - len(merges), min_frequency, boundary))
         merges += [(spelled[a], spelled[b]) for a, b, _ in learned]
