@@ -227,6 +227,24 @@ def test_passes_over_all_words_equal_single_words(seed):
     assert [got[word == k].tolist() for k in range(len(words))] == [merges.merge_symbols(w, merges.ranks_of(pairs), merged, True) for w in words]
 
 
+@pytest.mark.parametrize("passes", [256, 0])
+def test_pieces_are_encoded_and_decoded_the_same_way_by_word_or_by_pass(spark, monkeypatch, passes):
+    monkeypatch.setattr(bpe, "PASSES", passes)
+    monkeypatch.setattr(merges, "PASSES", passes)
+    lines = [" the  then é€ thethe", "", "ththth hhh\tx", "日本 the", "a" * 90 + "the"]
+    rows = spark.createDataFrame([("x", 1, 0, k, line) for k, line in enumerate(lines)], "lang string, file long, slab long, seq long, line string")
+    learned = [("t", "h"), ("th", "e"), ("Ġ", "the"), ("h", "h"), ("a", "a"), ("aa", "aa")]
+    encoded = bpe.encode_text(rows, learned).select("seq", "ids", bpe.decoder(learned)("ids").alias("text")).orderBy("seq").collect()
+    assert [r["text"] for r in encoded] == lines
+    names = dict(enumerate(dict.fromkeys(bpe.SPECIALS + sorted(bpe.byte_alphabet()) + [a + b for a, b in learned])))
+    assert [names[i] for i in encoded[0]["ids"]][:6] == ["Ġthe", "Ġ", "Ġthe", "n", "Ġ", "Ã"]
+    assert [names[i] for i in encoded[2]["ids"]][:5] == ["th", "th", "th", "Ġ", "hh"]
+    plain = rows.select(bpe.encoder(learned)(F.transform(bpe.pretokens(F.col("line")), bpe.to_symbols)).alias("ids"))
+    assert sorted(r["ids"] for r in plain.collect()) == sorted(r["ids"] for r in encoded)
+    half = spark.createDataFrame([([*encoded[0]["ids"][5:6]],)], "ids array<int>").select(bpe.decoder(learned)("ids")).first()[0]
+    assert half == "\N{REPLACEMENT CHARACTER}"
+
+
 def test_a_round_takes_no_more_pairs_than_its_merges_can_use(spark, monkeypatch):
     taken, find = [], merges.segments_of
     monkeypatch.setattr(merges, "segments_of", lambda words, active: (taken.append(len(active)), find(words, active))[1])

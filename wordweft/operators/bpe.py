@@ -6,12 +6,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from .merges import learn_merges, merge_symbols, ranks_of
+from .merges import PASSES, learn_merges, merge_passes, merge_symbols, ranks_of
 
 # The published pre-token pattern, and the special tokens in id order.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -85,38 +85,55 @@ def bpe_tables(spark: SparkSession, merges: list[tuple[str, str]]) -> tuple[Data
     return vocab, ranks
 
 
-def encoder(merges: list[tuple[str, str]]):
-    """Arrow UDF: array of pre-token symbol strings -> array of token ids.
+def encoder(merges: list[tuple[str, str]], raw: bool = False):
+    """Arrow UDF: array of pre-token symbol strings (``raw``: of pre-tokens) -> array of token ids.
 
-    The merge list is bounded by the vocabulary size. Lines are encoded where they are: the distinct pieces of a
-    batch are merged once (a bounded memo spans batches), so no token is shuffled to a word table and back.
+    The merge list is bounded by the vocabulary size. Lines are encoded where they are, the distinct pieces of a batch
+    once: few merges in one pass each over all of them, many word by word (a bounded memo spans batches). So no token is
+    shuffled to a word table and back.
     """
-    ranks, merged = ranks_of(merges), [a + b for a, b in merges]
-    tokens = SPECIALS + sorted(byte_alphabet()) + merged
+    ranks, merged, alphabet = ranks_of(merges), [a + b for a, b in merges], byte_alphabet()
+    tokens = SPECIALS + sorted(alphabet) + merged
     ids = {t: i for i, t in enumerate(dict.fromkeys(tokens))}
+    of_byte = np.array([ids[c] for c in alphabet], np.int32)
+    of_char = np.zeros(max(map(ord, alphabet)) + 1, np.int32)
+    of_char[[ord(c) for c in alphabet]] = of_byte
+    # A text that two merges make may be merged on by a rank that has passed.
+    in_passes = len(merges) <= PASSES and len({*merged}) == len(merged)
+    numbered = [(ids[a], ids[b]) for a, b in merges], [ids[t] for t in merged]
+
+    def spell(word: str) -> tuple[int, ...]:
+        parts = [alphabet[b] for b in word.encode()] if raw else list(word)
+        return tuple([ids[p] for p in merge_symbols(parts, ranks, merged)])
+
+    def encoded(words: pa.Array, short) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
+        if not in_passes:
+            known = [short(w) if len(w) <= MEMO_CHARS else spell(w) for w in words.to_pylist()]
+            sizes = np.fromiter(map(len, known), np.int64, len(known))
+            return np.fromiter((i for k in known for i in k), np.int32, int(sizes.sum())), sizes
+        if raw:
+            symbols = of_byte[np.frombuffer(b"".join(words.cast(pa.binary()).to_pylist()), np.uint8)]
+            sizes = pc.binary_length(words).to_numpy(zero_copy_only=False)
+        else:
+            symbols = of_char[np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32)]
+            sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+        flat, word = merge_passes(symbols, np.repeat(np.arange(len(words)), sizes), *numbered)
+        return flat, np.bincount(word, minlength=len(words))
 
-    @pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def spell(word: str) -> tuple[int, ...]:
-            return tuple([ids[p] for p in merge_symbols(list(word), ranks, merged)])
-
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         short = lru_cache(maxsize=1 << 16)(spell)
-
-        def word_ids(word: str) -> tuple[int, ...]:
-            return short(word) if len(word) <= MEMO_CHARS else spell(word)
-
         for batch in batches:
-            lengths = batch.map(len).to_numpy()
-            flat = np.concatenate([*batch, np.array([], object)])
-            at, distinct = pd.factorize(flat)
-            known = [word_ids(w) for w in distinct]
-            sizes = np.array([len(k) for k in known], np.int64)
-            pool = np.fromiter((i for k in known for i in k), np.int32, int(sizes.sum()))
+            lengths = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            pieces = batch.flatten().dictionary_encode()
+            at = pieces.indices.to_numpy(zero_copy_only=False)
+            pool, sizes = encoded(pieces.dictionary, short)
             size = sizes[at]
             ends = np.cumsum(size)
-            flat_ids = pool[np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - size), size) + np.arange(int(size.sum()))]
-            stops = np.concatenate([[0], ends])[np.cumsum(lengths)]
-            yield pd.Series(np.split(flat_ids, stops[:-1]) if len(batch) else [], dtype=object)
+            flat = pool[np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - size), size) + np.arange(int(size.sum()))]
+            stops = np.append(0, ends)[np.append(0, np.cumsum(lengths))]
+            yield pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(flat.astype(np.int32)))
 
     return encode
 
@@ -126,15 +143,27 @@ def decoder(merges: list[tuple[str, str]]):
     tokens = list(dict.fromkeys(SPECIALS + sorted(byte_alphabet()) + [a + b for a, b in merges]))
     byte_of = {c: bytes([b]) for b, c in enumerate(byte_alphabet())}
     spelled = [b"" if t in SPECIALS else b"".join(byte_of[c] for c in t) for t in tokens]
-
-    @pandas_udf("string")
-    def decode(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda ids: b"".join([spelled[i] for i in ids]).decode("utf-8", "replace"))
+    pool, sizes = np.frombuffer(b"".join(spelled), np.uint8), np.array([len(t) for t in spelled], np.int64)
+    starts = np.cumsum(sizes) - sizes
+
+    @F.arrow_udf("string")
+    def decode(batch: pa.Array) -> pa.Array:
+        lengths = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ids = batch.flatten().to_numpy(zero_copy_only=False)
+        size = sizes[ids]
+        ends = np.cumsum(size)
+        raw = pool[np.repeat(starts[ids] - (ends - size), size) + np.arange(int(size.sum()))]
+        stops = np.append(0, ends)[np.append(0, np.cumsum(lengths))]
+        text = pa.StringArray.from_buffers(len(batch), pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(raw))
+        try:
+            text.validate(full=True)
+        except pa.ArrowInvalid:  # ids that cut a character in two
+            text = pa.array([raw[i:j].tobytes().decode("utf-8", "replace") for i, j in zip(stops[:-1], stops[1:])], pa.string())
+        return text
 
     return decode
 
 
 def encode_text(lines: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     """(lang, file, slab, seq, ids): token ids of each whole line, without boundary ids."""
-    symbols = F.transform(pretokens(F.col("line")), to_symbols)
-    return lines.select("lang", "file", "slab", "seq", encoder(merges)(symbols).alias("ids"))
+    return lines.select("lang", "file", "slab", "seq", encoder(merges, raw=True)(pretokens(F.col("line"))).alias("ids"))
