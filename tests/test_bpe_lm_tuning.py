@@ -2,10 +2,12 @@ import collections
 import random
 import time
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wordweft import catalog
 from wordweft.operators import bpe, lm, merges, tuning
 from wordweft.operators.ordinal import with_ordinal
 from wordweft.plans.config import FastTextSettings, RunSettings, Word2VecSettings
@@ -253,3 +255,18 @@ def test_a_round_takes_no_more_pairs_than_its_merges_can_use(spark, monkeypatch)
     counts = spark.createDataFrame(list(words.items()), "pretoken string, n bigint")
     assert bpe.train_bpe(counts, 261 + 6) == one_at_a_time(words, 6)
     assert taken[0] == 12
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_registered_merges_use_the_published_vocabulary(spark, tmp_path, seed):
+    """No cap below the published size: merging goes on until no pair is frequent enough, in Spark and in the SQL."""
+    rng = random.Random(seed)
+    words = {"".join(rng.choice("ab" if seed % 2 else "abcdef") for _ in range(rng.randint(1, 9))): rng.randint(1, 9) for _ in range(150)}
+    text = "\n".join(w for w, n in words.items() for _ in range(n))
+    spark.createDataFrame([(1, "aa", text)], "doc_id bigint, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = [(k, a, b) for k, (a, b) in enumerate(one_at_a_time(words, 30_000 - 261))]
+    assert len(want) > 60
+    assert [tuple(r) for r in catalog.bpe_merges(spark, str(tmp_path)).orderBy("rank").collect()] == want
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(db.execute(catalog.ORACLES["bpe_merges"]).fetchall()) == want
