@@ -96,6 +96,36 @@ def test_pairs_meet_in_packed_buckets(spark):
     assert "HashAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_pairs_travel_as_differences_in_few_bytes():
+    rng = np.random.default_rng(3)
+    for limit in (1 << 3, 1 << 20, (1 << 31) - 1):
+        big, small = rng.integers(0, limit, (2, 5000)).astype(np.uint64)
+        keys = np.unique(big << np.uint64(32) | small << np.uint64(1) | np.uint64(1))
+        x = rng.integers(1, 1 << 50, len(keys)) if limit > 8 else np.ones(len(keys), np.int64)
+        rows = pairs._dealt("x", keys, x, 16).slice(1)
+        found, lengths = pairs._near(rows.column("keys"))
+        want = pairs._dealt("x", keys, x.astype(np.float64), 16).slice(1)
+        assert (pairs._unpacked(rows.column("x"), np.int64) == pairs._unpacked(want.column("x"), np.float64)).all()
+        assert lengths.sum() == len(found) and np.isin(found, keys).all() and len(np.unique(found)) == len(found)
+    # Half of what eight bytes a pair and eight a weight took, and less.
+    w, c = rng.integers(0, 50_000, (2, 400_000)).astype(np.uint64)
+    keys = np.unique(np.maximum(w, c) << np.uint64(32) | np.minimum(w, c) << np.uint64(1))
+    batch = pairs._dealt("x", keys, np.ones(len(keys), np.int64), 4096)
+    assert sum(len(v) for k in ("keys", "x") for v in batch.column(k).to_pylist()) < 8 * len(keys)
+
+
+def test_wide_windows_sum_whole_distances(spark):
+    chunks = spark.createDataFrame([("x", 0, 40, [k % 5 for k in range(40)])], "lang string, doc_ord bigint, own int, ids array<bigint>")
+    for window in (5, pairs.UNIT_WINDOW, pairs.UNIT_WINDOW + 4):
+        want = collections.Counter()
+        for i in range(40):
+            for d in range(1, min(window, 39 - i) + 1):
+                for a, b in ((i % 5, (i + d) % 5), ((i + d) % 5, i % 5)):
+                    want[a, b] += 1 / d
+        found = {(r["w"], r["c"]): r["x"] for r in pairs.cooccurrence(chunks, window).collect()}
+        assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_digests_are_not_shuffled(spark):
     rows = spark.range(500).select((F.col("id") % 2).cast("string").alias("lang"), F.col("id").alias("w"))
     digest = F.md5(F.col("w").cast("string"))
