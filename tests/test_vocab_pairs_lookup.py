@@ -265,3 +265,20 @@ def test_hot_words_are_not_shuffled(spark, monkeypatch):
     assert sorted((r["k"], r["id"]) for r in inner) == sorted((r["k"], r["id"]) for r in left if r["id"])
     hot = lookup.lookup_join(rows, words, "n", "left").where("word = 'the'")
     assert hot.where(F.spark_partition_id() == F.col("part")).count() == hot.count() == 250
+
+
+def test_a_large_noise_table_travels_in_parts(spark, kept):
+    """Parts of the table take the draws of their interval, each draw once, and no draw is shuffled."""
+    noise = vocab.noise_distribution(words_of(kept))
+    draws = spark.range(2000).select(F.element_at(F.array(F.lit("aa"), F.lit("bb")), (F.col("id") % 2 + 1).cast("int")).alias("lang"),
+                                     F.col("id").alias("k"), hash_uniform(5, F.col("id")).alias("u"))
+    edges = noise.select("lang", (F.col("id") + 10_000).alias("k"), F.col("lo").alias("u"))
+    draws = draws.unionByName(edges).localCheckpoint()
+    want = sorted(pairs.draw_noise(draws, noise).collect())
+    size = noise.agg(F.sum(F.octet_length("word") + 24)).first()[0]
+    for parts in (2, 3, 5):
+        found = pairs.draw_noise(draws, noise, max_local_bytes=-(-size // parts))
+        assert sorted(found.collect()) == want
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        plain = pairs.draw_noise(draws, noise, max_local_bytes=-(-size // parts), words=False)
+        assert sorted(plain.select("k", "id").collect()) == sorted((r["k"], r["id"]) for r in want)
